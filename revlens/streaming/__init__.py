@@ -1,0 +1,6 @@
+"""Structured Streaming entry points.
+
+The original jobs are batch only (no stream, watermark or state). The one
+streaming use offered here is scoring newly arriving reviews with an
+already fitted, stateless model: see :mod:`revlens.streaming.scoring`.
+"""
