@@ -33,7 +33,7 @@ def match_personas(personas: DataFrame, catalog: DataFrame,
     A non-equi join: the persona table (small, one row per persona) is
     broadcast and the catalog is streamed once; only matching pairs exist.
     """
-    cond = F.lower(catalog[name_col]).like(personas[pattern_col])
+    cond = F.like(F.lower(catalog[name_col]), personas[pattern_col])
     return F.broadcast(personas).join(catalog, cond, "inner")
 
 
