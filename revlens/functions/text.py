@@ -40,8 +40,14 @@ def ngrams(words: Column | str, n: int) -> Column:
         raise ValueError("n must be >= 1")
     w = _col(words)
     size = F.size(w)
-    grams = F.transform(F.sequence(F.lit(1), size - n + 1),
-                        lambda i: F.array_join(F.slice(w, i, n), " "))
+    count = F.greatest(size - n + 1, F.lit(0))
+    # Zip n shifted slices. The lambdas see only their own arguments: a
+    # lambda that referenced ``w`` would let the optimizer inline the
+    # tokenizer into it and re-run it once per element.
+    grams = F.slice(w, 1, count)
+    for k in range(2, n + 1):
+        grams = F.zip_with(grams, F.slice(w, k, count),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 

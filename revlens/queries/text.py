@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions.text import glue, join_words, ngrams, remove_stopwords, tokenize
+from revlens.functions.text import glue_list, join_words, ngrams, remove_stopwords, tokenize
 from revlens.operators.extremes import key_extremes
 from revlens.operators.vocab import (TERM, term_frequency, term_stats, tfidf,
                                      vocabulary)
@@ -52,15 +52,14 @@ def _filtered_docs(spark, sf):
 def glue_bigrams(spark, sf):
     """Glue the 20 most frequent bigrams, in frequency order.
 
-    The ordered key array is a scalar subquery: no driver round trip.
+    The key list is a top-20 (TakeOrderedAndProject): 20 strings reach the
+    driver and go back as one literal array.
     """
     docs = _bigram_docs(spark, sf)
     top = (term_stats(docs, "doc_id", "grams")
            .orderBy(F.col("tf").desc(), F.col(TERM).asc()).limit(GLUE_KEYS))
-    ranked = top.select(F.struct((-F.col("tf")).alias("k1"), F.col(TERM).alias("k2")).alias("s"))
-    keys = ranked.agg(F.transform(F.array_sort(F.collect_list("s")),
-                                  lambda s: s["k2"]).alias("keys")).scalar()
-    return docs.select("doc_id", glue(join_words("words"), keys).alias("glued_text"))
+    keys = [r[TERM] for r in top.collect()]
+    return docs.select("doc_id", glue_list(join_words("words"), keys).alias("glued_text"))
 
 
 def ngram_vocabulary(spark, sf):
