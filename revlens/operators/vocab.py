@@ -8,7 +8,7 @@ with ``minDocFreq = 0``; tf-idf is the raw count times IDF.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.fixed import VOCAB_CAP
@@ -22,9 +22,13 @@ def term_frequency(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
     """(doc, term, tf): occurrences of each term in each document.
 
     The partial aggregate runs before the shuffle, so a document's repeated
-    terms leave its task as one row each.
+    terms leave its task as one row each. ``explode_outer`` + an explicit
+    null filter: a plain ``explode`` makes the optimizer infer a
+    ``size(terms) > 0`` filter and push it, with the whole tokenizer
+    expression inlined, down to the scan, where it runs a second time.
     """
-    return (docs.select(doc_col, F.explode(terms_col).alias(TERM))
+    return (docs.select(doc_col, F.explode_outer(terms_col).alias(TERM))
+            .where(F.col(TERM).isNotNull())
             .groupBy(doc_col, TERM).agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -34,19 +38,37 @@ def term_stats(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
             .groupBy(TERM).agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
 
 
+# Above this many rows (partitions x cap) the top-k merge of
+# ``orderBy().limit(cap)`` would funnel too much into its single final task,
+# and the distributed :func:`row_index` is used instead.
+TOP_K_MERGE_MAX = 20_000_000
+
+
 def vocabulary(stats: DataFrame, cap: int = VOCAB_CAP, min_df: int = 1) -> DataFrame:
-    """(term, term_index, tf, df) for the ``cap`` most frequent terms."""
+    """(term, term_index, tf, df) for the ``cap`` most frequent terms.
+
+    Order: tf descending, term ascending. Small ``partitions x cap``: a
+    top-k (each task keeps ``cap`` rows) and a rank over those ``cap`` rows.
+    Otherwise a distributed sort with positions, cut at ``cap``.
+    """
     kept = stats.where(F.col("df") >= F.lit(min_df))
-    indexed = row_index(kept, [F.col("tf").desc(), F.col(TERM).asc()], TERM_INDEX)
+    order = [F.col("tf").desc(), F.col(TERM).asc()]
+    parts = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts * cap <= TOP_K_MERGE_MAX:
+        top = kept.orderBy(*order).limit(cap)
+        return top.select(TERM, (F.row_number().over(Window.orderBy(*order)) - 1)
+                          .cast("long").alias(TERM_INDEX), "tf", "df")
+    indexed = row_index(kept, order, TERM_INDEX)
     return indexed.where(F.col(TERM_INDEX) < F.lit(cap)).select(TERM, TERM_INDEX, "tf", "df")
 
 
 def vocabulary_terms(vocab: DataFrame) -> list[str]:
     """The vocabulary as a driver list, for ``CountVectorizerModel``.
 
-    Bounded by the vocabulary cap (2^18 by default).
+    Bounded by the vocabulary cap (2^18 by default); ordered on the driver.
     """
-    return [r[TERM] for r in vocab.orderBy(TERM_INDEX).select(TERM).collect()]
+    rows = vocab.select(TERM, TERM_INDEX).collect()
+    return [r[TERM] for r in sorted(rows, key=lambda r: r[TERM_INDEX])]
 
 
 def idf(stats: DataFrame, n_docs) -> DataFrame:
@@ -56,17 +78,44 @@ def idf(stats: DataFrame, n_docs) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, doc_col: str, terms_col: str, vocab: DataFrame,
-          fit_docs: DataFrame | None = None) -> DataFrame:
+          n_docs=None) -> DataFrame:
     """(doc, term, tf, tfidf) over vocabulary terms.
 
-    Document frequencies and N come from ``fit_docs`` (default: ``docs``).
-    The vocabulary is bounded by its cap and broadcast.
+    IDF comes from the vocabulary's own document frequencies, i.e. from the
+    documents the vocabulary was built on; ``n_docs`` is their number (a
+    Column or int; default: the rows of ``docs``). The vocabulary is bounded
+    by its cap and broadcast, so the term-frequency rows never shuffle for
+    this join.
     """
-    fit_docs = docs if fit_docs is None else fit_docs
-    n_docs = fit_docs.agg(F.count(F.lit(1))).scalar()
-    fit_stats = term_stats(fit_docs, doc_col, terms_col)
-    weights = (idf(fit_stats, n_docs)
-               .join(F.broadcast(vocab.select(TERM)), TERM, "left_semi"))
+    if n_docs is None:
+        n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    weights = idf(vocab, n_docs)
     tf = term_frequency(docs, doc_col, terms_col)
     return (tf.join(F.broadcast(weights), TERM, "inner")
             .select(doc_col, TERM, "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+
+
+def count_vectorizer(terms: list[str], input_col: str, output_col: str):
+    """``CountVectorizerModel`` for an ordered vocabulary.
+
+    Same model as ``CountVectorizerModel.from_vocabulary``, but the terms
+    cross to the JVM as one newline-joined string split there: the stock
+    helper copies the list one element per Py4J call, minutes for 2^18
+    terms. Terms never hold a newline (tokens are ``\\w`` runs and n-grams
+    join them with spaces).
+    """
+    from pyspark import SparkContext
+    from pyspark.ml.feature import CountVectorizerModel
+
+    if any("\n" in t for t in terms):
+        return CountVectorizerModel.from_vocabulary(terms, inputCol=input_col,
+                                                    outputCol=output_col)
+    jvm = SparkContext._active_spark_context._jvm
+    jterms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms), -1) \
+        if terms else jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.String, 0)
+    jmodel = jvm.org.apache.spark.ml.feature.CountVectorizerModel(jterms)
+    model = CountVectorizerModel(jmodel)
+    model.setInputCol(input_col)
+    model.setOutputCol(output_col)
+    model._set(vocabSize=max(len(terms), 1))
+    return model

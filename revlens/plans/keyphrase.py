@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
 from revlens.operators.sampling import hash_split
 from revlens.operators.vocab import (TERM, TERM_INDEX, term_stats, vocabulary,
-                                     vocabulary_terms)
+                                     vocabulary_terms, count_vectorizer)
 
 
 @dataclass
@@ -60,13 +61,16 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     job did); by default only the training side is used.
     """
     spark = docs.sparkSession
-    words = (docs.withColumn("words", tokenize(text_col, pattern))
-             .withColumn("ngrams", ngrams("words", n)))
+    # Tokenise once: statistics, IDF, the SVM and gluing all reuse the token
+    # arrays. Persisted, not written: the lineage (scan -> regex) is
+    # deterministic, so a lost executor simply recomputes its part.
+    tokens = (docs.withColumn("words", tokenize(text_col, pattern))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    words = tokens.withColumn("ngrams", ngrams("words", n))
     train, _ = hash_split(words, [0.8, 0.2], seed, [doc_col])
     fit_docs = words if fit_on_all else train
     vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap)
-    cv = CountVectorizerModel.from_vocabulary(
-        vocabulary_terms(vocab), inputCol="ngrams", outputCol="tf")
+    cv = count_vectorizer(vocabulary_terms(vocab), "ngrams", "tf")
     idf = IDF(inputCol="tf", outputCol="tf_idf").fit(cv.transform(fit_docs))
     feats = idf.transform(cv.transform(train)).select("tf_idf", label_col)
     svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",

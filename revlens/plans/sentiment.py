@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml.feature import IDF
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplitModel, TrainValidationSplit
 from pyspark.sql import DataFrame
@@ -25,9 +26,8 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      TOKEN_PATTERN, VOCAB_CAP)
 from revlens.functions.text import remove_stopwords, tokenize
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import term_stats, vocabulary, vocabulary_terms
+from revlens.operators.vocab import count_vectorizer, term_stats, vocabulary, vocabulary_terms
 from revlens.plans.keyphrase import KeyNgrams, key_ngrams
-from revlens.session import write_table
 
 DROPPED = ("cool", "funny", "useful", "date", "stars")
 
@@ -63,19 +63,21 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     kn = key_ngrams(labelled, n=n, seed=seed, per_side=per_side, max_iter=key_max_iter,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
                     pattern=pattern, vocab_cap=vocab_cap, fit_on_all=fit_on_all)
-    docs = (kn.docs.withColumn("words_with_ngrams", tokenize("ngram_text", pattern))
-            .withColumn("filtered_words", remove_stopwords("words_with_ngrams")))
+    docs = (kn.docs.select(doc_col, "label", "ngram_text")
+            .withColumn("words_with_ngrams", tokenize("ngram_text", pattern))
+            .withColumn("filtered_words", remove_stopwords("words_with_ngrams"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
     train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
     fit_docs = docs if fit_on_all else train
     vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap)
-    cv = CountVectorizerModel.from_vocabulary(
-        vocabulary_terms(vocab), inputCol="filtered_words", outputCol="final_tf")
+    cv = count_vectorizer(vocabulary_terms(vocab), "filtered_words", "final_tf")
     idf = IDF(inputCol="final_tf", outputCol="final_tf_idf").fit(cv.transform(fit_docs))
 
     def features(df: DataFrame) -> DataFrame:
         return idf.transform(cv.transform(df)).select(doc_col, "label", "final_tf_idf")
 
-    train_f = write_table(features(train), "svm-train")
+    # TrainValidationSplit caches its own train/validation parts.
+    train_f = features(train)
     test_f = features(test)
     svc = LinearSVC(maxIter=max_iter, featuresCol="final_tf_idf", labelCol="label")
     grid = ParamGridBuilder().addGrid(svc.regParam, [float(r) for r in reg_grid]).build()

@@ -23,8 +23,10 @@ def _words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _exploded(df: DataFrame, array_col: str, out: str) -> DataFrame:
-    return df.select("doc_id", F.posexplode(array_col).alias("pos", out)).select(
-        "doc_id", F.col("pos").cast("long").alias("pos"), out)
+    # posexplode_outer + null filter: see revlens.operators.vocab.term_frequency
+    return (df.select("doc_id", F.posexplode_outer(array_col).alias("pos", out))
+            .where(F.col("pos").isNotNull())
+            .select("doc_id", F.col("pos").cast("long").alias("pos"), out))
 
 
 def tokenize_q(spark, sf):

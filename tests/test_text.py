@@ -99,3 +99,14 @@ def test_join_fields_writes_none(spark):
     got = df.select(join_fields("a", "b", "c", "d").alias("s")).first()["s"]
     assert got == "Cafe, None, 123, X"
     assert df.select(join_words(F.array(F.lit("a"), F.lit("b"))).alias("s")).first()["s"] == "a b"
+
+
+def test_count_vectorizer_equals_from_vocabulary(spark):
+    from pyspark.ml.feature import CountVectorizerModel
+    from revlens.operators.vocab import count_vectorizer
+    terms = ["b a", "a", "c d", "e"]
+    df = spark.createDataFrame([(["a", "c d", "a", "zz"],), ([],)], "w array<string>")
+    ours = count_vectorizer(terms, "w", "v")
+    ref = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="v")
+    assert ours.vocabulary == terms
+    assert [r["v"] for r in ours.transform(df).collect()] == [r["v"] for r in ref.transform(df).collect()]
