@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators.indexing import row_index
 from revlens.operators.skew import SkewSpec, hot_keys, salted_join
+from revlens.session import pin
 
 INT_MAX = 2**31 - 1
 FREQ = "n_rows"
@@ -30,6 +31,24 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias(FREQ)))
 
 
+def key_frequencies(df: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
+    """(key, n_rows) frames for several key columns from one scan of ``df``.
+
+    One grouping-sets aggregate (map-side partial counts, so a hot key
+    collapses before the shuffle), pinned once; each frame is then a cheap
+    filter of the pinned result. Null keys are dropped.
+    """
+    counted = (df.groupingSets([[k] for k in keys], *keys)
+               .agg(F.count(F.lit(1)).alias(FREQ), F.grouping_id().alias("_rl_gid")))
+    pinned = pin(counted)
+    out = {}
+    for i, k in enumerate(keys):
+        gid = sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)
+        out[k] = (pinned.where((F.col("_rl_gid") == gid) & F.col(k).isNotNull())
+                  .select(k, FREQ))
+    return out
+
+
 def number_keys(keys: DataFrame, key: str, id_col: str) -> DataFrame:
     """Number a frame whose ``key`` is already distinct; keeps other columns."""
     indexed = row_index(keys, [F.col(key).asc()], "_rl_idx")

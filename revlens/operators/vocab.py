@@ -65,10 +65,12 @@ def vocabulary(stats: DataFrame, cap: int = VOCAB_CAP, min_df: int = 1) -> DataF
 def vocabulary_terms(vocab: DataFrame) -> list[str]:
     """The vocabulary as a driver list, for ``CountVectorizerModel``.
 
-    Bounded by the vocabulary cap (2^18 by default); ordered on the driver.
+    Bounded by the vocabulary cap (2^18 by default); fetched as Arrow
+    batches and ordered on the driver.
     """
-    rows = vocab.select(TERM, TERM_INDEX).collect()
-    return [r[TERM] for r in sorted(rows, key=lambda r: r[TERM_INDEX])]
+    table = vocab.select(TERM, TERM_INDEX).toArrow()
+    pairs = zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist())
+    return [t for _, t in sorted(pairs)]
 
 
 def idf(stats: DataFrame, n_docs) -> DataFrame:

@@ -69,7 +69,8 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     words = tokens.withColumn("ngrams", ngrams("words", n))
     train, _ = hash_split(words, [0.8, 0.2], seed, [doc_col])
     fit_docs = words if fit_on_all else train
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap)
+    # bounded by the cap; kept, as the coefficients are joined back to it
+    vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap).persist()
     cv = count_vectorizer(vocabulary_terms(vocab), "ngrams", "tf")
     idf = IDF(inputCol="tf", outputCol="tf_idf").fit(cv.transform(fit_docs))
     feats = idf.transform(cv.transform(train)).select("tf_idf", label_col)

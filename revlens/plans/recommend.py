@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.fixed import ALS_SEED
 from revlens.operators.catalog import match_items, report, require_match
-from revlens.operators.ids import (dense_ids, encode, hot_ids, key_counts,
+from revlens.operators.ids import (dense_ids, encode, hot_ids, key_frequencies,
                                    number_keys)
 from revlens.operators.persona import (ITEM, RATING, USER, candidates,
                                        persona_ratings, with_persona)
@@ -45,13 +45,14 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     joins are not re-run by every later job.
     """
     item_ids = dense_ids(business, "business_id", ITEM)
-    user_ids = number_keys(key_counts(reviews, "user_id"), "user_id", USER)
+    freq = key_frequencies(reviews, ["user_id", "business_id"])
+    user_ids = number_keys(freq["user_id"], "user_id", USER)
     catalog = encode(business, item_ids, "business_id", ITEM, on_missing="drop")
     facts = reviews.select("user_id", "business_id", "stars")
     hot_u = hot_i = None
     if skew is not None:
-        hot_u = hot_ids(user_ids.select("user_id", "n_rows"), "user_id", skew)
-        hot_i = hot_ids(key_counts(reviews, "business_id"), "business_id", skew)
+        hot_u = hot_ids(freq["user_id"], "user_id", skew)
+        hot_i = hot_ids(freq["business_id"], "business_id", skew)
     enc = encode(facts, user_ids, "user_id", USER, on_missing, hot_u)
     enc = encode(enc, item_ids, "business_id", ITEM, on_missing, hot_i)
     ratings = enc.select(USER, ITEM, F.col("stars").cast("double").alias(RATING))

@@ -69,7 +69,7 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
             .persist(StorageLevel.MEMORY_AND_DISK))
     train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
     fit_docs = docs if fit_on_all else train
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap)
+    vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap).persist()
     cv = count_vectorizer(vocabulary_terms(vocab), "filtered_words", "final_tf")
     idf = IDF(inputCol="final_tf", outputCol="final_tf_idf").fit(cv.transform(fit_docs))
 

@@ -82,3 +82,12 @@ def test_number_keys_keeps_columns(spark):
     df = spark.createDataFrame([("b", 2), ("a", 5)], "k string, n long")
     rows = number_keys(df, "k", "id").orderBy("id").collect()
     assert [(r["k"], r["n"], r["id"]) for r in rows] == [("a", 5, 0), ("b", 2, 1)]
+
+
+def test_key_frequencies_one_scan(spark):
+    from revlens.operators.ids import key_frequencies
+    df = spark.createDataFrame([("u1", "b1"), ("u1", "b2"), (None, "b1"), ("u2", None)],
+                               "user_id string, business_id string")
+    f = key_frequencies(df, ["user_id", "business_id"])
+    assert sorted(tuple(r) for r in f["user_id"].collect()) == [("u1", 2), ("u2", 1)]
+    assert sorted(tuple(r) for r in f["business_id"].collect()) == [("b1", 2), ("b2", 1)]
