@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,12 +65,19 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
 def als_estimator(rank: int = 30, max_iter: int = 50, reg_param: float = 0.3,
                   seed: int = ALS_SEED, num_blocks: int | None = None,
                   checkpoint_interval: int = 10) -> ALS:
-    """Explicit-feedback ALS; unseen users or items give no prediction."""
+    """Explicit-feedback ALS; unseen users or items give no prediction.
+
+    ``num_blocks`` (user and item blocks) defaults to the cluster's
+    parallelism, at least ALS's own 10 and at most 1024, so a large cluster
+    solves the normal equations on all its cores.
+    """
     als = ALS(userCol=USER, itemCol=ITEM, ratingCol=RATING,
               coldStartStrategy="drop", seed=seed, rank=rank, maxIter=max_iter,
               regParam=reg_param, checkpointInterval=checkpoint_interval)
-    if num_blocks:
-        als.setNumBlocks(num_blocks)
+    if num_blocks is None:
+        sc = SparkContext._active_spark_context
+        num_blocks = max(10, min(sc.defaultParallelism, 1024)) if sc else 10
+    als.setNumBlocks(num_blocks)
     return als
 
 
