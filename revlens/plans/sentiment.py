@@ -55,10 +55,16 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
               per_side: int = KEY_EXTREMES_PER_SIDE, key_max_iter: int = 100,
               key_reg: float = 0.1, max_iter: int = 100,
               reg_grid: Sequence[float] = SVM_REG_GRID, train_ratio: float = 0.8,
-              parallelism: int = 1, vocab_cap: int = VOCAB_CAP,
+              parallelism: int | None = None, vocab_cap: int = VOCAB_CAP,
               fit_on_all: bool = False, num_bins: int = 0,
               doc_col: str = "doc_id", pattern: str = TOKEN_PATTERN) -> SentimentResult:
-    """Train and evaluate the classifier; AUROC is exact with ``num_bins=0``."""
+    """Train and evaluate the classifier; AUROC is exact with ``num_bins=0``.
+
+    ``parallelism``: grid cells fitted concurrently (default: the grid size,
+    at most 4); they share the cached train/validation parts.
+    """
+    if parallelism is None:
+        parallelism = max(1, min(len(reg_grid), 4))
     labelled = label_reviews(reviews)
     kn = key_ngrams(labelled, n=n, seed=seed, per_side=per_side, max_iter=key_max_iter,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
