@@ -57,7 +57,8 @@ def main() -> None:
     from revlens.sources import tables
 
     def q_prepare():
-        prep = prepare(tables.catalog(spark, sf_dir), tables.reviews(spark, sf_dir))
+        prep = prepare(tables.catalog(spark, sf_dir), tables.reviews(spark, sf_dir),
+                       materialize=False)
         _run(prep.ratings)
 
     def q_als_fit():

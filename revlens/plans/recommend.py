@@ -36,14 +36,15 @@ class Prepared:
 
 
 def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
-            skew: SkewSpec | None = SkewSpec(), materialize: bool = False) -> Prepared:
+            skew: SkewSpec | None = SkewSpec(), materialize: bool = True) -> Prepared:
     """Number ids and encode the ratings.
 
     ``on_missing``: 'error' fails on a rating whose user or business has no
     id (null key, or business absent from the catalog); 'drop' removes it.
     ``skew``: hot users/items are spread over salts in the lookup joins.
-    ``materialize``: write the ratings once to the checkpoint folder, so the
-    joins are not re-run by every later job.
+    ``materialize`` (default): write the ratings once to the checkpoint
+    folder (three numeric columns), so the persona id, the candidate set and
+    the ALS fit read them instead of re-running both lookup joins.
     """
     item_ids = dense_ids(business, "business_id", ITEM)
     freq = key_frequencies(reviews, ["user_id", "business_id"])

@@ -27,8 +27,10 @@ FAVOURITE = "red plate"
 SUBSET_N = 1000
 
 
-def _prep(spark: SparkSession, sf: str) -> Prepared:
-    return prepare(tables.catalog(spark, sf), tables.reviews(spark, sf))
+def _prep(spark: SparkSession, sf: str, materialize: bool = False) -> Prepared:
+    """Prepared tables; lazy by default, as most queries read them once."""
+    return prepare(tables.catalog(spark, sf), tables.reviews(spark, sf),
+                   materialize=materialize)
 
 
 def _r(x, digits: int = 6):
