@@ -47,3 +47,13 @@ def test_t18_key_list_stable_under_repartition(spark):
                   reg_grid=(0.1,))
     assert a.keys.keys == b.keys.keys
     assert sorted(r["doc_id"] for r in a.scored.collect()) == sorted(r["doc_id"] for r in b.scored.collect())
+
+
+def test_fit_on_all_option_uses_all_documents(spark):
+    from revlens.plans.keyphrase import key_ngrams
+    docs = label_reviews(_planted(spark, n=60))
+    train_only = key_ngrams(docs, max_iter=5, per_side=2)
+    all_docs = key_ngrams(docs, max_iter=5, per_side=2, fit_on_all=True)
+    n_train = train_only.vocabulary.agg({"df": "max"}).first()[0]
+    n_all = all_docs.vocabulary.agg({"df": "max"}).first()[0]
+    assert n_all > n_train
