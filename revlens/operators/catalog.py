@@ -30,11 +30,21 @@ def match_personas(personas: DataFrame, catalog: DataFrame,
                    pattern_col: str = "pattern", name_col: str = "name") -> DataFrame:
     """All (persona, item) pairs whose name matches the persona's pattern.
 
-    A non-equi join: the persona table (small, one row per persona) is
-    broadcast and the catalog is streamed once; only matching pairs exist.
+    A pattern without ``%``, ``_`` or ``\\`` matches by plain equality, so
+    those personas use a hash equi-join on ``lower(name)`` (any number of
+    them, no nested loop). Only wildcard patterns need a non-equi join; they
+    are broadcast and the catalog is streamed once. Output: persona columns
+    then catalog columns; only matching pairs exist.
     """
-    cond = F.like(F.lower(catalog[name_col]), personas[pattern_col])
-    return F.broadcast(personas).join(catalog, cond, "inner")
+    wild = F.col(pattern_col).rlike(r"[%_\\]")
+    exact = personas.where(~wild)
+    patterns = personas.where(wild)
+    lowered = catalog.withColumn("_rl_lname", F.lower(F.col(name_col)))
+    by_name = (exact.join(lowered, exact[pattern_col] == lowered["_rl_lname"], "inner")
+               .drop("_rl_lname"))
+    cond = F.like(F.lower(catalog[name_col]), patterns[pattern_col])
+    by_like = F.broadcast(patterns).join(catalog, cond, "inner")
+    return by_name.unionByName(by_like)
 
 
 def unmatched_personas(personas: DataFrame, catalog: DataFrame,

@@ -29,11 +29,13 @@ def test_t5_like_semantics(cat):
 def test_t6_no_match_raises_and_is_listed(spark, cat):
     with pytest.raises(KeyError):
         require_match(match_items(cat, "nowhere"), "nowhere")
-    personas = spark.createDataFrame([("p1", "sugar%"), ("p2", "nowhere")],
-                                     "persona string, pattern string")
+    personas = spark.createDataFrame(
+        [("p1", "sugar%"), ("p2", "nowhere"), ("p3", "sugar bowl"), ("p4", "sugar_bowl")],
+        "persona string, pattern string")
     assert [r["persona"] for r in unmatched_personas(personas, cat).collect()] == ["p2"]
     pairs = match_personas(personas, cat).select("persona", "business_id_numeric").collect()
-    assert sorted((r[0], r[1]) for r in pairs) == [("p1", 0), ("p1", 1), ("p1", 2)]
+    assert sorted((r[0], r[1]) for r in pairs) == [
+        ("p1", 0), ("p1", 1), ("p1", 2), ("p3", 0), ("p4", 0), ("p4", 2)]
 
 
 def test_t8_null_field_prints_none(cat):
