@@ -121,3 +121,29 @@ def count_vectorizer(terms: list[str], input_col: str, output_col: str):
     model.setOutputCol(output_col)
     model._set(vocabSize=max(len(terms), 1))
     return model
+
+
+def vocabulary_model(vocab: DataFrame, n_docs: int, input_col: str, tf_col: str,
+                     output_col: str):
+    """(CountVectorizerModel, IDF scaler, terms) from a vocabulary frame.
+
+    The IDF weights ``ln((N + 1) / (df + 1))`` come from the vocabulary's own
+    document frequencies (computed on the same documents), so no extra pass
+    over the corpus is needed; ``ElementwiseProduct`` applies them exactly as
+    ``IDFModel.transform`` would. All driver data here is bounded by the
+    vocabulary cap and fetched as Arrow.
+    """
+    import math
+
+    from pyspark.ml.feature import ElementwiseProduct
+    from pyspark.ml.linalg import Vectors
+
+    table = vocab.select(TERM_INDEX, TERM, "df").toArrow()
+    rows = sorted(zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist(),
+                      table.column("df").to_pylist()))
+    terms = [t for _, t, _ in rows]
+    weights = [math.log((n_docs + 1.0) / (df + 1.0)) for _, _, df in rows]
+    cv = count_vectorizer(terms, input_col, tf_col)
+    scaler = ElementwiseProduct(scalingVec=Vectors.dense(weights or [0.0]),
+                                inputCol=tf_col, outputCol=output_col)
+    return cv, scaler, terms

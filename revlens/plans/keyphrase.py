@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
 from revlens.operators.sampling import hash_split
 from revlens.operators.vocab import (TERM, TERM_INDEX, term_stats, vocabulary,
-                                     vocabulary_terms, count_vectorizer)
+                                     vocabulary_model)
 
 
 @dataclass
@@ -71,8 +70,7 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     fit_docs = words if fit_on_all else train
     # bounded by the cap; kept, as the coefficients are joined back to it
     vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap).persist()
-    cv = count_vectorizer(vocabulary_terms(vocab), "ngrams", "tf")
-    idf = IDF(inputCol="tf", outputCol="tf_idf").fit(cv.transform(fit_docs))
+    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "ngrams", "tf", "tf_idf")
     feats = idf.transform(cv.transform(train)).select("tf_idf", label_col)
     svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",
                     labelCol=label_col).fit(feats)

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplitModel, TrainValidationSplit
 from pyspark.sql import DataFrame
@@ -26,7 +25,7 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      TOKEN_PATTERN, VOCAB_CAP)
 from revlens.functions.text import remove_stopwords, tokenize
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import count_vectorizer, term_stats, vocabulary, vocabulary_terms
+from revlens.operators.vocab import term_stats, vocabulary, vocabulary_model
 from revlens.plans.keyphrase import KeyNgrams, key_ngrams
 
 DROPPED = ("cool", "funny", "useful", "date", "stars")
@@ -76,8 +75,8 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
     fit_docs = docs if fit_on_all else train
     vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap).persist()
-    cv = count_vectorizer(vocabulary_terms(vocab), "filtered_words", "final_tf")
-    idf = IDF(inputCol="final_tf", outputCol="final_tf_idf").fit(cv.transform(fit_docs))
+    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "filtered_words", "final_tf",
+                                  "final_tf_idf")
 
     def features(df: DataFrame) -> DataFrame:
         return idf.transform(cv.transform(df)).select(doc_col, "label", "final_tf_idf")

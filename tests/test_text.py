@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.ml.feature import IDF, NGram, RegexTokenizer, StopWordsRemover, CountVectorizer
 from pyspark.sql import functions as F
 
@@ -110,3 +112,18 @@ def test_count_vectorizer_equals_from_vocabulary(spark):
     ref = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="v")
     assert ours.vocabulary == terms
     assert [r["v"] for r in ours.transform(df).collect()] == [r["v"] for r in ref.transform(df).collect()]
+
+
+def test_vocabulary_model_equals_spark_idf(spark):
+    from pyspark.ml.feature import CountVectorizerModel
+    from revlens.operators.vocab import vocabulary_model
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, ["b"]), (4, [])],
+                                 "doc_id long, w array<string>")
+    vocab = vocabulary(term_stats(docs, "doc_id", "w"))
+    cv, scaler, terms = vocabulary_model(vocab, docs.count(), "w", "tf", "x")
+    ours = scaler.transform(cv.transform(docs)).orderBy("doc_id").collect()
+    ref_cv = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="tf")
+    ref = IDF(inputCol="tf", outputCol="x").fit(ref_cv.transform(docs))
+    theirs = ref.transform(ref_cv.transform(docs)).orderBy("doc_id").collect()
+    for a, b in zip(ours, theirs):
+        assert a["x"].toArray().tolist() == pytest.approx(b["x"].toArray().tolist(), abs=1e-12)
