@@ -73,7 +73,7 @@ def test_t4_gluing_substring_semantics(spark):
     assert one.select(glue_list("t", ["a a", "a a"]).alias("g")).first()["g"] == "a_a_a"
 
 
-def test_glue_matches_python_reference_semantics(spark):
+def test_glue_matches_python_str_replace_semantics(spark):
     texts = ["not good at all not good", "very good very good food", "good"]
     keys = ["not good", "very good", "good food"]
 
