@@ -141,9 +141,11 @@ def vocabulary_model(vocab: DataFrame, n_docs: int, input_col: str, tf_col: str,
     table = vocab.select(TERM_INDEX, TERM, "df").toArrow()
     rows = sorted(zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist(),
                       table.column("df").to_pylist()))
+    if not rows:
+        raise ValueError(f"empty vocabulary: the fitted documents hold no {input_col}")
     terms = [t for _, t, _ in rows]
     weights = [math.log((n_docs + 1.0) / (df + 1.0)) for _, _, df in rows]
     cv = count_vectorizer(terms, input_col, tf_col)
-    scaler = ElementwiseProduct(scalingVec=Vectors.dense(weights or [0.0]),
+    scaler = ElementwiseProduct(scalingVec=Vectors.dense(weights),
                                 inputCol=tf_col, outputCol=output_col)
     return cv, scaler, terms
