@@ -71,6 +71,11 @@ def main() -> None:
                        materialize=True)
         _run(recommend(prep, "red plate", n=10, rank=10, max_iter=10, reg_param=0.1).report)
 
+    def q_recommend_full():
+        # the original job's settings: rank 30, 50 iterations, regParam 0.3
+        prep = prepare(tables.catalog(spark, sf_dir), tables.reviews(spark, sf_dir))
+        _run(recommend(prep, "red plate", n=10, rank=30, max_iter=50, reg_param=0.3).report)
+
     def q_grid():
         prep = prepare(tables.catalog(spark, sf_dir), tables.reviews(spark, sf_dir),
                        materialize=True)
@@ -109,6 +114,7 @@ def main() -> None:
         "prepare_ids": q_prepare,
         "als_fit_r10_i10": q_als_fit,
         "recommend_report": q_recommend,
+        "recommend_rank30_iter50": q_recommend_full,
         "als_grid_2x2": q_grid,
         "tfidf_bigram": q_tfidf,
         "glue_100_keys_all_docs": q_glue100,
