@@ -143,16 +143,37 @@ def recommend(prep: Prepared, favourite: str, n: int = 10, rank: int = 30,
     training = with_persona(prep.ratings, persona_ratings(prep.ratings, favourites, uid))
     model = fit(als_estimator(rank, max_iter, reg_param, seed, num_blocks), training)
     cands = candidates(prep.ratings, favourites, uid)
-    best = top_n(model.transform(cands), n)
+    best = top_n(score_user(model, uid, cands), n)
     return Recommendation(best, report(best, prep.catalog), model, uid,
                           favourites, cands, training)
 
 
+def _dot(left, right):
+    return F.aggregate(F.zip_with(left, right, lambda a, b: a * b),
+                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
+def score_user(model: ALSModel, user_id: int, pairs: DataFrame) -> DataFrame:
+    """(user, item, prediction) for one user's candidate items.
+
+    Same scores as ``model.transform(pairs)`` (cold items dropped), without
+    its plan for a constant user column: there the user-factor lookup
+    becomes a nested-loop join that broadcasts every candidate. Here the
+    user's factor vector (``rank`` floats) is fetched once and the candidates
+    are hash-joined with the item factors.
+    """
+    row = model.userFactors.where(F.col("id") == F.lit(int(user_id))).select("features").first()
+    items = model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("_rl_vf"))
+    joined = pairs.join(items, ITEM, "inner")
+    if row is None:  # unseen user: nothing to predict (cold start)
+        return joined.where(F.lit(False)).select(USER, ITEM, F.lit(None).cast("float").alias("prediction"))
+    vec = F.lit([float(x) for x in row["features"]]).cast("array<float>")
+    return joined.select(USER, ITEM, _dot(F.col("_rl_vf"), vec).cast("float").alias("prediction"))
+
+
 def factor_scores(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """(user, item, dot) from the factor tables: the score ALS predicts."""
     uf = model.userFactors.select(F.col("id").alias(USER), F.col("features").alias("uf"))
     itf = model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("vf"))
-    dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a * b),
-                      F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     return (pairs.join(uf, USER).join(itf, ITEM)
-            .select(USER, ITEM, dot.alias("dot")))
+            .select(USER, ITEM, _dot(F.col("uf"), F.col("vf")).alias("dot")))

@@ -105,3 +105,18 @@ def test_prepare_on_tables(spark, sf001):
     assert prep.ratings.count() == 6000
     assert prep.catalog.count() == 200
     assert prep.ratings.schema[USER].dataType.simpleString() == "int"
+
+
+def test_score_user_equals_transform_and_avoids_nested_loop(spark):
+    from revlens.plans.recommend import score_user
+    b, r = _planted(spark, n_users=12, n_items=12)
+    prep = prepare(b, r)
+    model = fit(als_estimator(rank=3, max_iter=4), prep.ratings)
+    pairs = prep.ratings.select(ITEM).distinct().select(F.lit(2).alias(USER), ITEM)
+    ours = {x[ITEM]: x["prediction"] for x in score_user(model, 2, pairs).collect()}
+    lib = {x[ITEM]: x["prediction"] for x in model.transform(pairs).collect()}
+    assert ours.keys() == lib.keys()
+    assert all(abs(ours[k] - lib[k]) < 1e-4 for k in ours)
+    plan = score_user(model, 2, pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan
+    assert score_user(model, 999, pairs).count() == 0
