@@ -37,3 +37,27 @@ def test_every_query_has_an_oracle_or_is_listed(spark):
     reg = registry()
     assert len(reg) >= 45
     assert all(sql for _, sql in reg.values())
+
+
+def test_no_cartesian_and_nested_loops_only_for_wildcards(spark, sf001):
+    wildcard_ok = {"persona_matches", "unmatched_personas"}
+    for mod in (relational, text):
+        for key, (fn, _) in mod.QUERIES.items():
+            if key in ("json_roundtrip", "debug_subset_written"):
+                continue
+            plan = _plan(fn(spark, sf001))
+            assert "CartesianProduct" not in plan, key
+            if key not in wildcard_ok:
+                assert "NestedLoopJoin" not in plan, key
+
+
+def test_exact_personas_use_hash_join(spark, sf001):
+    from revlens.operators.catalog import match_personas
+    personas = spark.createDataFrame([("a", "red plate"), ("b", "blue bolt")],
+                                     "persona string, pattern string")
+    cat = prepare(tables.catalog(spark, sf001), tables.reviews(spark, sf001),
+                  materialize=False).catalog
+    df = match_personas(personas, cat)
+    plan = _plan(df)
+    assert df.count() > 0
+    assert "HashJoin" in plan or "SortMergeJoin" in plan
