@@ -53,8 +53,12 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     facts = reviews.select("user_id", "business_id", "stars")
     hot_u = hot_i = None
     if skew is not None:
+        # Salt only when some key is hot: the check reads the pinned
+        # frequency table, and without hot keys a plain join is cheaper.
         hot_u = hot_ids(freq["user_id"], "user_id", skew)
         hot_i = hot_ids(freq["business_id"], "business_id", skew)
+        hot_u = None if hot_u.isEmpty() else hot_u
+        hot_i = None if hot_i.isEmpty() else hot_i
     enc = encode(facts, user_ids, "user_id", USER, on_missing, hot_u)
     enc = encode(enc, item_ids, "business_id", ITEM, on_missing, hot_i)
     ratings = enc.select(USER, ITEM, F.col("stars").cast("double").alias(RATING))
