@@ -19,7 +19,7 @@ from revlens.session import write_table
 
 CHUNK_BYTES = 1 << 20
 # A side is broadcast only when its rows were counted and fit in this many bytes.
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 48 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
