@@ -7,10 +7,8 @@ their own. Remainders are dealt by a hash into randomised groups of about
 decreasing: pieces from long to short, each into the first bin that still
 has room, found in a tournament tree over the bins' free capacities.
 
-The tokenizer treats what stands between white space independently, so the
-ids of every distinct word are asked once per worker and kept in a bounded
-table; texts in which Python's and the tokenizer's idea of white space could
-differ are tokenised whole.
+The ids of every distinct unit of text are asked of the tokenizer once per
+worker and kept in a bounded table (see :class:`UnitEncoder`).
 
 Defined results: null and empty texts hold the end id alone; a null id is
 kept as null; repeated rows are pieces of their own; ties in length are
@@ -19,6 +17,9 @@ broken by id and start; empty tables give no rows.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,118 +28,189 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import col, flat_ranges
+from revlens.llm.common import LOWER, NOT_SPACE, byte_column, col, doc_chunks, flat_ranges, runs, word_hashes, word_spans
 from revlens.session import write_table
 
 LENGTH = 4096
 END_ID = 2
 GROUP_PIECES = 1 << 15
-KEPT_WORDS = 400_000   # words a worker remembers; then it starts afresh
-LONG_WORD = 64         # longer words are not remembered
-CHUNK_CHARS = 1 << 20
-# Python splits at these, Unicode's White_Space property doesn't hold them.
-_SEPARATORS = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
+KEPT_UNITS = 3_000_000  # units of text whose ids a worker remembers, about 32 bytes each
+KEPT_IDS = 16_000_000   # and their ids
+CHUNK_BYTES = 1 << 22
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-class WordEncoder:
-    """Ids of texts through a bounded table of the ids of words."""
+# White space outside ASCII, in UTF-8 (fixed: Unicode's White_Space).
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 
-    def __init__(self, path: str):
-        import os
 
+def _classes() -> np.ndarray:
+    """Class of every byte. Letters: ASCII, and U+00C0 to U+027F with their
+    continuation bytes. Signs: printable ASCII. The apostrophe, control
+    characters and other lead bytes are _OTHER: a word that holds one is not
+    cut here."""
+    out = np.full(256, _OTHER, np.uint8)
+    out[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LETTER
+    out[0x30:0x3A] = _DIGIT
+    out[[b for b in range(33, 127) if not chr(b).isalnum() and b != 0x27]] = _SIGN
+    out[~NOT_SPACE] = _SPACE
+    return out
+
+
+_CLASS = _classes()
+
+
+class UnitEncoder:
+    """Ids of texts through a bounded table of the ids of their units.
+
+    The tokenizer this is written for (NFC, lower case; runs of letters,
+    single digits and runs of signs as pieces; byte-level BPE with an
+    end-of-word mark) treats pieces independently. A unit is such a piece
+    where ASCII bytes and Latin letters alone decide that, else a whole word
+    between white space, which is given to the tokenizer as it stands. Units
+    are found and named by 64-bit hashes with numpy; each new one is asked of
+    the tokenizer once. Another kind of tokenizer is given whole texts.
+    """
+
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.forget()
-
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.used = 0
-        self.offset = np.zeros(1 << 18, np.int64)
-        self.size = np.zeros(1 << 18, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.batch(words, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in encoded], np.int64)
-        n, total = len(self.index), int(sizes.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(words) > len(self.size):
-            self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in encoded for i in x), np.uint32, total)
-        self.size[n:n + len(words)] = sizes
-        self.offset[n:n + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.index.update(zip(words, range(n, n + len(words))))
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of every text, with the end id."""
-        if len(self.index) > KEPT_WORDS:
-            self.forget()
-        words = [t.split() if t == t.translate(_SEPARATORS) else None for t in texts]
-        new = {w for ws in words if ws for w in ws if w not in self.index}
-        long_ = {w for w in new if len(w) > LONG_WORD}
-        if new - long_:
-            self._learn(sorted(new - long_))
-        plain = [i for i, ws in enumerate(words) if ws is not None and not (long_ and not long_.isdisjoint(ws))]
-        at = np.fromiter((self.index[w] for i in plain for w in words[i]), np.int64)
-        counts = np.array([len(words[i]) for i in plain], np.int64)
-        ids = self.flat[flat_ranges(self.offset[at], self.size[at])]
-        ends = np.concatenate([[0], np.cumsum(self.size[at])])[np.cumsum(counts)]
-        cut = dict(zip(plain, zip(np.concatenate([[0], ends[:-1]]).tolist() if len(ends) else [], ends.tolist())))
-        for i, text in enumerate(texts):
-            if i in cut:
-                body = ids[cut[i][0]:cut[i][1]]
-            else:
-                body = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            yield np.append(body, np.uint32(END_ID))
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.plain = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+                      and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed" and spec["model"]["type"] == "BPE"
+                      and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+                      and "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in cuts[0]["pattern"]["Regex"]
+                      and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
+        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.keys = np.zeros(0, np.uint64)     # sorted names of the known units
+        self.place = np.zeros(0, np.int64)     # their numbers
+        self.offset, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _ids(self, unit: bytes, kind: int) -> list[int]:
+        text = unit.decode("utf-8", "replace")
+        if kind == 0:    # ASCII stands for itself
+            return [t.id for t in self.tokenizer.model.tokenize(text)]
+        if kind == 1:    # Latin letters
+            return [t.id for t in self.tokenizer.model.tokenize(self.level.pre_tokenize_str(text.lower())[0][0])]
+        return self.whole(text)
+
+    def units(self, data: np.ndarray, offsets: np.ndarray):
+        """(bytes with ASCII capitals lowered where that is right, starts, ends,
+        units before each document, kind of every byte)."""
+        cls = _CLASS[data]
+        starts, ends, cut = word_spans(data, offsets, NOT_SPACE)
+        bad = cls == _OTHER
+        follow = np.append(data[1:], np.uint8(0))
+        bad |= (data == 0xC3) & ((follow == 0x97) | (follow == 0xB7))   # the two signs among the Latin letters
+        bad |= (data == 0xC4) & (follow == 0xB0)                        # its lower case is a letter and a mark
+        bad |= (data == 0x3C) & (follow == 0x7C)                        # special tokens begin with <|
+        low = LOWER[data]
+        change = np.zeros(len(data), bool)
+        change[1:] = cls[1:] != cls[:-1]
+        change |= cls == _DIGIT
+        if bad.any():
+            seen = np.concatenate([[0], np.cumsum(bad)])
+            odd = np.flatnonzero(seen[ends] > seen[starts])
+            inside = flat_ranges(starts[odd], ends[odd] - starts[odd])
+            change[inside] = False
+            low[inside] = data[inside]
+        change[cls == _SPACE] = False
+        change[starts] = True
+        begin = np.flatnonzero(change)
+        stop = np.minimum(np.append(begin[1:], len(data)), ends[np.searchsorted(starts, begin, "right") - 1])
+        return low, begin, stop, np.searchsorted(begin, offsets), (data >= 0x80).astype(np.int8) + 2 * bad
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all documents one after another, ids before each)."""
+        if not self.plain:
+            raw = data.tobytes()
+            each = [self.whole(raw[a:b].decode("utf-8", "replace")) for a, b in zip(offsets[:-1], offsets[1:])]
+            return (np.fromiter((i for x in each for i in x), np.uint32),
+                    np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64))
+        if np.isin(data, (0xC2, 0xE1, 0xE2, 0xE3)).any():
+            data = np.frombuffer(_WIDE_SPACE.sub(lambda m: b" " * len(m[0]), data.tobytes()), np.uint8)
+        low, begin, stop, cut, kind = self.units(data, offsets)
+        names = word_hashes(low, begin, stop)
+        order = np.argsort(names)
+        ranked = names[order]
+        first = runs(ranked)
+        unique = ranked[first]
+        at = np.searchsorted(self.keys, unique)
+        at[at == len(self.keys)] = 0
+        known = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
+        number = np.empty(len(unique), np.int64)
+        number[known] = self.place[at[known]]
+        new = np.flatnonzero(~known)
+        before = len(self.size), len(self.flat)
+        if len(new):
+            raw, spot = low.tobytes(), order[first[new]]
+            at = [np.concatenate([[0], np.cumsum(kind >= k)]) for k in (1, 2)]
+            kinds = sum((c[stop[spot]] > c[begin[spot]]).astype(int) for c in at)
+            asked = [self._ids(raw[a:b], k) for a, b, k in
+                     zip(begin[spot].tolist(), stop[spot].tolist(), kinds.tolist())]
+            sizes = np.array([len(x) for x in asked], np.int64)
+            number[new] = len(self.size) + np.arange(len(new))
+            self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.size = np.concatenate([self.size, sizes])
+            self.flat = np.concatenate([self.flat, np.fromiter((i for x in asked for i in x), np.uint32, int(sizes.sum()))])
+        which = np.empty(len(names), np.int64)
+        which[order] = np.repeat(number, np.diff(np.append(first, len(names))))
+        sizes = self.size[which]
+        ids = self.flat[flat_ranges(self.offset[which], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[cut]
+        if len(self.size) > KEPT_UNITS or len(self.flat) > KEPT_IDS:  # frequent units are known by now
+            self.offset, self.size, self.flat = self.offset[:before[0]], self.size[:before[0]], self.flat[:before[1]]
+        elif len(new):
+            where = np.searchsorted(self.keys, unique[new])
+            self.keys = np.insert(self.keys, where, unique[new])
+            self.place = np.insert(self.place, where, number[new])
+        return ids, ends
+
+
+_ENCODERS: dict[str, UnitEncoder] = {}
+
+
+def encoder(path: str) -> UnitEncoder:
     """One encoder per worker and file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = UnitEncoder(path)
     return _ENCODERS[path]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    lo, size, held = 0, 0, []
-    for i, t in enumerate(texts):
-        held.append(t or "")
-        size += len(t or "")
-        if size >= CHUNK_CHARS:
-            yield lo, held
-            lo, size, held = i + 1, 0, []
-    if held:
-        yield lo, held
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            length: int = LENGTH) -> DataFrame:
     """One row per piece of at most ``length`` ids, with a CRC-32 of its ids
     as little-endian unsigned 32-bit values. One narrow pass over the texts."""
+    end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
             names = batch.column(0).to_pylist()
+            data, offsets = byte_column(batch.column(1))
             out: list[list] = [[], [], [], [], []]
-            for lo, texts in chunks(batch.column(1).to_pylist()):
-                for k, ids in enumerate(enc.encode(texts)):
-                    raw = ids.astype("<u4").tobytes()
-                    for start in range(0, len(ids), length):
-                        n = min(length, len(ids) - start)
-                        for c, v in zip(out, (names[lo + k], start, n, zlib.crc32(raw[4 * start:4 * (start + n)]),
-                                              len(ids))):
+            for lo, hi in doc_chunks(offsets, CHUNK_BYTES):
+                ids, cut = enc.encode(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                raw = memoryview(ids.astype("<u4").tobytes())
+                for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
+                    total = b - a + 1
+                    for start in range(0, total, length):
+                        stop = min(start + length, total)
+                        crc = zlib.crc32(raw[4 * (a + start):4 * min(a + stop, b)])
+                        if stop == total:
+                            crc = zlib.crc32(end, crc)
+                        for c, v in zip(out, (names[lo + k], start, stop - start, crc, total)):
                             c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

@@ -177,14 +177,36 @@ def test_packing_a_table(spark, no_docs):
     assert packing.pack_documents(no_docs, tokenizer_path()).count() == 0
 
 
-def test_word_table_agrees_with_the_tokenizer(monkeypatch):
-    monkeypatch.setattr(packing, "KEPT_WORDS", 5)
-    enc = packing.WordEncoder(tokenizer_path())
-    texts = ["It's we'll  don't x'sy", "a\x1cb c\x1fd", "tab\tnew\nline nbsp　wide", "<|endoftext|> x <|startoftext|>y",
-             "é é Å Å ﬁ", "ΣΑΣ Σ", "w" * 300 + " tail", "", "12 ³ Ⅷ a1b2", "  x \u0085y", "ab" * 50 + " c"]
+def test_units_agree_with_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_UNITS", 12)
+    enc = packing.UnitEncoder(tokenizer_path())
+    assert enc.plain
+    texts = ["It's we'll  don't x'sy 'tis", "a\x1cb c\x1fd\x00e", "tab\tnew\nline nbsp\u00a0wide\u3000x\u2028y\u0085z",
+             "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|> <| a", "e\u0301 É Å A\u030a ﬁ İI ßß ǅ", "ΣΑΣ Σ", "w" * 300 + " Tail",
+             "", "12 ³ Ⅷ a1b2 3.14,15", "  x y", "ab" * 50 + " c", "Çêre, «dé» é×é 2÷3 naïve-ly... é!é", "日本語、テスト。abc中文def",
+             "a\u200bb \ufeff 👍🏽!! ok", "don\u2019t — no…, \u00a1Hola!", "\u00ad x \u0344", "UPPER Lower É.É,é"]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])])
     for _ in range(3):
-        for t, ids in zip(texts, enc.encode(texts)):
-            assert ids.tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2], t
+        ids, cut = enc.encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+        for i, t in enumerate(texts):
+            assert ids[cut[i]:cut[i + 1]].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
+    enc.plain = False
+    whole, again = enc.encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+    assert whole.tolist() == ids.tolist() and again.tolist() == cut.tolist()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_units_of_random_texts(seed):
+    rng = np.random.default_rng(seed)
+    enc = packing.UnitEncoder(tokenizer_path())
+    signs = [*"abzABZ019 .,'\"<|>-_\t\n", "é", "É", "×", "ß", "\u00a0", "\u0301", "中", "…", "ſ", "\u2003", "'s", "'LL", "\x7f", "ʼ"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(400)]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])])
+    ids, cut = enc.encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+    for i, t in enumerate(texts):
+        assert ids[cut[i]:cut[i + 1]].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_first_fit_decreasing_against_plain_loop():
