@@ -34,6 +34,7 @@ FIT_DOCS = 50_000       # training documents per language, about
 MAX_LANGUAGES = 512     # bounds the broadcast matrix: BUCKETS x 512 x 4 bytes = 64 MB
 SMOOTHING = 0.5
 UNKNOWN = "und"
+SCORE_BYTES = 1 << 19   # bytes of text whose features are held at once
 
 _LETTERS: list[np.ndarray] = []
 
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in batches:
             data, offsets = byte_column(batch.column(0))
             which = np.array([index[k] for k in batch.column(1).to_pylist()], np.int64)
-            for lo, hi in doc_chunks(offsets):
+            for lo, hi in doc_chunks(offsets, SCORE_BYTES):
                 f, cut = features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], buckets)
                 base = np.repeat(which[lo:hi] * buckets, np.diff(cut))
                 for row in f:
@@ -128,7 +129,7 @@ def score_texts(array: pa.Array, langs: list[str], matrix: np.ndarray) -> tuple[
     names, scores = [UNKNOWN] * len(array), np.zeros(len(array))
     if not langs:
         return names, scores
-    for lo, hi in doc_chunks(offsets):
+    for lo, hi in doc_chunks(offsets, SCORE_BYTES):
         f, cut = features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], buckets)
         has = np.flatnonzero(np.diff(cut))
         if not len(has):

@@ -36,7 +36,7 @@ from revlens.llm.spans import covered, window_runs, with_spans, write_spans
 from revlens.session import write_table
 
 WINDOW = 50
-FOLD_ROWS = 200_000        # runs a task folds at a time
+FOLD_ROWS = 100_000        # runs a task folds at a time
 TASK_WINDOWS = 500_000     # windows counted at a time
 HOT_WINDOWS = 4_000_000    # windows of one anchor that one task counts
 PACK = 5                   # bytes of a window's hash
