@@ -7,7 +7,10 @@ memory of a task follows the longest document, not the partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +74,20 @@ def join_measured(left: DataFrame, right: DataFrame, on: str | list[str], how: s
     return left.join(right, on, how)
 
 
+def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` for mapInArrow; at the end of a task the worker, which lives on
+    for other tasks, gives back the memory it has freed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                with contextlib.suppress(OSError, AttributeError):  # another C library
+                    ctypes.CDLL("libc.so.6").malloc_trim(0)
+    return run
+
+
 # -- bytes ----------------------------------------------------------------------
 
 def byte_column(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

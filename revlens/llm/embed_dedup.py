@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import col, components, mix64
+from revlens.llm.common import (col, components, mix64, tidy)
 from revlens.session import write_table
 
 THRESHOLD = 0.93
@@ -57,7 +57,7 @@ def normalised(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> Data
                                              ["id", "label", "vec"])
 
     return (df.select(col(id_col).cast("long").alias("id"), col(label_col).cast("string").alias("label"),
-                      col(vec_col).alias("vec")).mapInArrow(run, "id long, label string, vec binary"))
+                      col(vec_col).alias("vec")).mapInArrow(tidy(run), "id long, label string, vec binary"))
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -201,7 +201,7 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lab
                          .agg(F.min("id").alias("rep"), F.count_distinct("id").alias("mult"))
                          .select("rep", "label", "vec", "mult"), "unique")
     cells = spark.sparkContext.broadcast(fit_cells(unique))
-    placed = unique.mapInArrow(_assign(cells, threshold), "label string, cell int, home boolean, rep long, "
+    placed = unique.mapInArrow(tidy(_assign(cells, threshold)), "label string, cell int, home boolean, rep long, "
                                                           "mult long, vec binary")
     placed = write_table(placed, "placed")
     # Blocks: residents by resident block, visitors (residents visit, too) by visiting block.

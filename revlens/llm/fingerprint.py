@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (CHUNK_BYTES, NOT_SPACE, keyed_texts, mix64, runs, word_hashes, word_spans)
+from revlens.llm.common import (CHUNK_BYTES, NOT_SPACE, keyed_texts, mix64, runs, tidy, word_hashes,
+                                word_spans)
 
 SAMPLES = 64
 POOL = 1 << 16
@@ -191,13 +192,13 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     .column("rid").to_numpy())
     bounds = np.unique(drawn[np.linspace(0, len(drawn), buckets, endpoint=False).astype(int)[1:]]) \
         if len(drawn) else np.zeros(0, np.int64)
-    tops = (rows.select("rid").mapInArrow(_bucket_tops(bounds), "bucket int, top long")
+    tops = (rows.select("rid").mapInArrow(tidy(_bucket_tops(bounds)), "bucket int, top long")
             .groupBy("bucket").agg(F.max("top").alias("top")).orderBy("bucket").collect())
     # In descending order the largest key of a bucket follows the last row of the next larger bucket.
     goes = {r["top"]: tops[(i + 1) % len(tops)]["bucket"] for i, r in enumerate(tops)}
-    dealt = (rows.mapInArrow(_deal(bounds, goes), "bucket int, copy boolean, rid long, id long, text string")
+    dealt = (rows.mapInArrow(tidy(_deal(bounds, goes)), "bucket int, copy boolean, rid long, id long, text string")
              .repartition(parts, "bucket").sortWithinPartitions("bucket", "copy", F.col("rid").desc()))
-    return dealt.select("bucket", "copy", "id", "text").mapInArrow(_fingerprint_rows(samples), OUT)
+    return dealt.select("bucket", "copy", "id", "text").mapInArrow(tidy(_fingerprint_rows(samples)), OUT)
 
 
 def _bucket_tops(bounds: np.ndarray):

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import byte_column, col, doc_chunks, fresh, mix64
+from revlens.llm.common import (byte_column, col, doc_chunks, fresh, mix64, tidy)
 
 BUCKETS = 1 << 15
 FIT_DOCS = 50_000       # training documents per language, about
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-    cells = (kept.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = (kept.mapInArrow(tidy(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
              .toArrow())
     counts = np.zeros(len(langs) * buckets)
     counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
@@ -161,7 +161,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)],
                                              [*batch.schema.names, lang_out, score_out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (ALNUM, LOWER, PrefixHash, byte_column, col, doc_chunks, word_hashes,
+from revlens.llm.common import (ALNUM, LOWER, PrefixHash, byte_column, col, doc_chunks, tidy, word_hashes,
                                 word_spans)
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -208,6 +208,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """License findings of every document."""
     rows = docs.select(col(id_col).cast("long").alias("doc_id"),
                        col(text_col).cast("string").cast("binary").alias("text"))
-    grams = rows.mapInArrow(emit_grams, "seq long, doc_id long, text binary, n int, gram long")
+    grams = rows.mapInArrow(tidy(emit_grams), "seq long, doc_id long, text binary, n int, gram long")
     hits = grams.join(F.broadcast(index(docs.sparkSession)), "gram", "inner")
-    return hits.select("seq", "doc_id", "text", "n", "tmpl", "tpos").mapInArrow(vote, OUT)
+    return hits.select("seq", "doc_id", "text", "n", "tmpl", "tpos").mapInArrow(tidy(vote), OUT)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import (ALNUM, LOWER, PrefixHash, byte_column, components, doc_chunks, flat_ranges,
-                                join_measured, keyed_texts, mix64, word_hashes, word_spans)
+                                join_measured, keyed_texts, mix64, tidy, word_hashes, word_spans)
 from revlens.session import write_table
 
 SHINGLE = 5
@@ -221,14 +221,14 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(rid, id, class_rid, class_id, n_links): one row per document with its
     key, the smallest key of its class, and its number of links."""
     rows, plain = keyed_texts(docs, id_col, text_col)
-    signed = write_table(rows.mapInArrow(_signatures, "rid long, id long, w1 long, w2 long, n long, sig binary"), "sig")
+    signed = write_table(rows.mapInArrow(tidy(_signatures), "rid long, id long, w1 long, w2 long, n long, sig binary"), "sig")
     rungs = least_matches(threshold, tolerance)
     classes = write_table(signed.where("n > 0").groupBy("w1", "w2")
                           .agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("mult")), "classes")
     n = classes.count()
     reps = join_measured(signed.select(F.col("rid").alias("rep"), "n", "sig"), classes.select("rep", "mult"),
                          "rep", "inner", 16 * n)
-    banded = reps.select("rep", "sig").mapInArrow(_bands, "key long, band int, rep long")
+    banded = reps.select("rep", "sig").mapInArrow(tidy(_bands), "key long, band int, rep long")
     buckets = write_table(banded.groupBy("key", "band").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("members"), F.min("rep").alias("low"))
         .where("size > 1"), "buckets")
@@ -246,7 +246,7 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "members")
     texts = join_measured(rows.select(F.col("rid").alias("rep"), "text"), nodes, "rep", "inner", 40 * nodes.count())
     sets = write_table(texts.select("rep", "mult", "root", "big", "text").mapInArrow(
-        _payload, "rep long, mult long, root long, big boolean, sig binary, grams binary"), "sets")
+        tidy(_payload), "rep long, mult long, root long, big boolean, sig binary, grams binary"), "sets")
     out = "a long, b long, links long"
     small = sets.where("NOT big").groupBy("root").applyInArrow(_compare_all(threshold, rungs), out)
     large = hits.join(nodes.where("big").select("rep", "n"), "rep")

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import LOWER, NOT_SPACE, byte_column, col, doc_chunks, flat_ranges, runs, word_hashes, word_spans
+from revlens.llm.common import (LOWER, NOT_SPACE, byte_column, col, doc_chunks, flat_ranges, runs, tidy,
+                                word_hashes, word_spans)
 from revlens.session import write_table
 
 LENGTH = 4096
@@ -216,7 +217,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(tidy(run), PIECES)
 
 
 class Tournament:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import flat_ranges, join_measured, merge_intervals, runs
+from revlens.llm.common import (flat_ranges, join_measured, merge_intervals, runs, tidy)
 from revlens.session import write_table
 
 MAX_RUN = 1 << 15   # windows of a run; longer ones are split
@@ -90,7 +90,7 @@ def write_spans(found: DataFrame) -> DataFrame:
 
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return write_table(found.select("rid", "lo", "hi").repartition(parts, "rid").sortWithinPartitions("rid", "lo")
-                       .mapInArrow(run, "rid long, los array<long>, his array<long>"), "spans")
+                       .mapInArrow(tidy(run), "rid long, los array<long>, his array<long>"), "spans")
 
 
 def with_spans(rows: DataFrame, spans: DataFrame, key: str = "rid") -> DataFrame:

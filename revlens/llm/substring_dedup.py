@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, flat_ranges, keyed,
-                                keyed_texts, mix64, runs, word_hashes, word_spans)
+                                keyed_texts, mix64, runs, tidy, word_hashes, word_spans)
 from revlens.llm.spans import covered, window_runs, with_spans, write_spans
 from revlens.session import write_table
 
@@ -185,9 +185,9 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, hot: int = HOT_WINDOW
     """(rid, los, his): intervals of word numbers covered by windows that also
     start in a document with a smaller key, of documents (rid, text)."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (texts.select("rid", "text").mapInArrow(_window_rows(window), ROWS)
+    dealt = (texts.select("rid", "text").mapInArrow(tidy(_window_rows(window)), ROWS)
              .repartition(parts, "akey").sortWithinPartitions("akey"))
-    found = write_table(dealt.mapInArrow(_count_windows(window, hot), FOUND), "covered")
+    found = write_table(dealt.mapInArrow(tidy(_count_windows(window, hot)), FOUND), "covered")
     late = found.where("wkey IS NOT NULL")
     done = found.where("wkey IS NULL").select("rid", "lo", "hi")
     return write_spans(done if late.isEmpty() else done.unionByName(covered(late, ["rid"])))
@@ -229,7 +229,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     rows, _ = keyed_texts(docs, id_col, text_col)
     both = with_spans(rows, repeated_spans(rows, window))
     return both.select("id", "text", "los", "his").mapInArrow(
-        _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        tidy(_digest), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def cut_words(text: bytes, los: list[int], his: list[int]) -> bytes:
@@ -265,7 +265,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                 texts = pa.array(new, texts.type)
             yield pa.RecordBatch.from_arrays([texts if i == at else batch.column(i) for i in keep], schema.names)
 
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(tidy(run), schema)
 
 
 def fresh_pair(rows: DataFrame) -> tuple[str, str]:
