@@ -50,7 +50,7 @@ def main() -> None:
     from revlens.plans.keyphrase import key_ngrams
     from revlens.plans.recommend import als_estimator, fit, prepare, recommend
     from revlens.plans.sentiment import label_reviews, sentiment
-    from revlens.plans.subset import create_and_write_debug_data
+    from revlens.plans.subset import write_subset
     from revlens.plans.tune import als_grid_search
     from revlens.queries import text as tq
     from revlens.session import scratch_path
@@ -106,9 +106,9 @@ def main() -> None:
         _run(auroc(docs.join(labels, "doc_id"), "n_chars", "quality"))
 
     def q_subset():
-        create_and_write_debug_data(
-            tables.reviews(spark, sf_dir, with_order=True), tables.catalog(spark, sf_dir),
-            scratch_path(spark, "bench-subset"), 10_000, tables.REVIEW_ORDER)
+        out = scratch_path(spark, "bench-subset")
+        write_subset(tables.reviews(spark, sf_dir, with_order=True), tables.catalog(spark, sf_dir),
+                     f"{out}/ratings", f"{out}/businesses", 10_000, tables.REVIEW_ORDER)
 
     suite = {
         "prepare_ids": q_prepare,

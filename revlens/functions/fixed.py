@@ -42,7 +42,6 @@ ALS_SEED = 42
 SPLIT_SEED = 42
 KEY_NGRAM_N = 2
 KEY_EXTREMES_PER_SIDE = 50
-VOCAB_CAP = 1 << 18
 SVM_REG_GRID = (0.01, 0.1, 1.0)
 PERSONA_RATING = 5.0
 POSITIVE_MIN_STARS = 4

@@ -26,25 +26,41 @@ def match_items(catalog: DataFrame, favourite: str, literal: bool = False,
     return catalog.where(F.lower(F.col(name_col)).like(name_pattern(favourite, literal)))
 
 
+# Patterns with a wildcard elsewhere than at the end, which need a nested loop.
+MAX_WILD_PATTERNS = 10_000
+
+
 def match_personas(personas: DataFrame, catalog: DataFrame,
                    pattern_col: str = "pattern", name_col: str = "name") -> DataFrame:
-    """All (persona, item) pairs whose name matches the persona's pattern.
+    """All (persona, item) pairs with ``lower(name) LIKE lower(pattern)``.
 
-    A pattern without ``%``, ``_`` or ``\\`` matches by plain equality, so
-    those personas use a hash equi-join on ``lower(name)`` (any number of
-    them, no nested loop). Only wildcard patterns need a non-equi join; they
-    are broadcast and the catalog is streamed once. Output: persona columns
-    then catalog columns; only matching pairs exist.
+    A pattern without ``%``, ``_`` or ``\\`` is an equi join on the lowered
+    name; one whose only wildcard is a final ``%`` an equi join on prefixes of
+    the pattern lengths that occur. Only other patterns are compared with
+    every name: they are counted, broadcast, and refused beyond
+    ``MAX_WILD_PATTERNS``. Output: persona columns then catalog columns.
     """
-    wild = F.col(pattern_col).rlike(r"[%_\\]")
-    exact = personas.where(~wild)
-    patterns = personas.where(wild)
-    lowered = catalog.withColumn("_rl_lname", F.lower(F.col(name_col)))
-    by_name = (exact.join(lowered, exact[pattern_col] == lowered["_rl_lname"], "inner")
-               .drop("_rl_lname"))
-    cond = F.like(F.lower(catalog[name_col]), patterns[pattern_col])
-    by_like = F.broadcast(patterns).join(catalog, cond, "inner")
-    return by_name.unionByName(by_like)
+    pattern = F.lower(F.col(pattern_col))
+    lowered = catalog.withColumn("_rl_name", F.lower(F.col(name_col)))
+    exact = personas.where(~pattern.rlike(r"[%_\\]"))
+    by_name = (exact.withColumn("_rl_key", pattern)
+               .join(lowered, F.col("_rl_key") == F.col("_rl_name"), "inner").drop("_rl_key", "_rl_name"))
+    prefix = (personas.where(pattern.rlike(r"^[^%_\\]+%$"))
+              .withColumn("_rl_key", F.expr(f"left(lower(`{pattern_col}`), length(`{pattern_col}`) - 1)")))
+    sizes = [r[0] for r in prefix.select(F.length("_rl_key")).distinct().collect()]  # at most a name's length
+    starts = F.array_distinct(F.transform(F.lit(sorted(sizes)) if sizes else F.array().cast("array<int>"),
+                                          lambda n: F.when(n <= F.length("_rl_name"), F.substring(F.col("_rl_name"), F.lit(1), n))))
+    by_prefix = (prefix.join(lowered.withColumn("_rl_start", F.explode(starts)),
+                             F.col("_rl_key") == F.col("_rl_start"), "inner").drop("_rl_key", "_rl_name", "_rl_start"))
+    found = by_name.unionByName(by_prefix)
+    wild = personas.where(pattern.rlike(r"[%_\\]") & ~pattern.rlike(r"^[^%_\\]+%$"))
+    n = wild.limit(MAX_WILD_PATTERNS + 1).count()
+    if n > MAX_WILD_PATTERNS:
+        raise ValueError(f"more than {MAX_WILD_PATTERNS} patterns with inner wildcards")
+    if n == 0:
+        return found
+    cond = F.like(F.lower(catalog[name_col]), F.lower(wild[pattern_col]))
+    return found.unionByName(F.broadcast(wild).join(catalog, cond, "inner"))
 
 
 def unmatched_personas(personas: DataFrame, catalog: DataFrame,

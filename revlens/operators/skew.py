@@ -6,9 +6,10 @@ found from a frequency table, their fact rows are spread over several salts,
 and the matching table rows are copied once per salt. Every other key keeps
 salt 0, i.e. an ordinary hash join.
 
-Bounds: a hot key holds at least ``share`` of all rows, so there are at most
-``1 / share`` of them; that list is broadcast. The table grows by the number
-of salts of the hot keys only.
+A key is hot by its own number of rows, whatever share of the data that is,
+so the bar doesn't rise with the input. The list of hot keys is broadcast
+while it is short (counted); a longer one is joined. The table grows by the
+number of salts of the hot keys only.
 """
 
 from __future__ import annotations
@@ -22,27 +23,22 @@ _SALTS = "_rl_salts"
 _SALT = "_rl_salt"
 
 
+# Hot keys that are broadcast; more are joined.
+BROADCAST_KEYS = 100_000
+
+
 @dataclass(frozen=True)
 class SkewSpec:
     """When a key counts as hot and how finely its rows are spread."""
-    share: float = 1e-3          # hot: at least this share of all rows ...
-    min_rows: int = 1_000_000    # ... and at least this many rows
+    min_rows: int = 1_000_000    # hot: at least this many rows
     rows_per_salt: int = 250_000 # target fact rows of one hot key per task
-    max_salts: int = 4096
-
-    @property
-    def max_hot_keys(self) -> int:
-        return int(1 / self.share)
 
 
 def hot_keys(freq: DataFrame, key: str, count_col: str,
              spec: SkewSpec = SkewSpec()) -> DataFrame:
     """(key, salts) for keys of ``freq`` (key, count) above the hot bar."""
-    total = freq.agg(F.sum(count_col)).scalar()
-    hot = freq.where((F.col(count_col) >= F.lit(spec.share) * total)
-                     & (F.col(count_col) >= F.lit(spec.min_rows)))
-    salts = F.least(F.ceil(F.col(count_col) / F.lit(spec.rows_per_salt)),
-                    F.lit(spec.max_salts)).cast("int")
+    hot = freq.where(F.col(count_col) >= F.lit(spec.min_rows))
+    salts = F.ceil(F.col(count_col) / F.lit(spec.rows_per_salt)).cast("int")
     return hot.select(key, F.greatest(salts, F.lit(1)).alias(_SALTS))
 
 
@@ -56,7 +52,9 @@ def salted_join(facts: DataFrame, table: DataFrame, key: str, hot: DataFrame,
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot_b = F.broadcast(hot.select(key, _SALTS))
+    hot_b = hot.select(key, _SALTS)
+    if hot_b.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        hot_b = F.broadcast(hot_b)
     content = F.xxhash64(*[F.col(c) for c in facts.columns])
     tagged = (facts.join(hot_b, key, "left")
               .withColumn(_SALT, F.when(F.col(_SALTS).isNull(), F.lit(0))

@@ -1,18 +1,18 @@
 """Term statistics, vocabulary, term frequency and IDF as relational plans.
 
 Vocabulary order: corpus count descending, then term ascending (a total
-order, so the cut at ``cap`` is deterministic). IDF is
+order, so a cut at a caller's ``cap`` is deterministic). IDF is
 ``ln((N + 1) / (df + 1))`` with N the number of documents, as Spark ML's IDF
 with ``minDocFreq = 0``; tf-idf is the raw count times IDF.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.fixed import VOCAB_CAP
 from revlens.operators.indexing import row_index
+from revlens.operators.skew import SkewSpec, hot_keys, salted_join
 
 TERM = "term"
 TERM_INDEX = "term_index"
@@ -38,39 +38,21 @@ def term_stats(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
             .groupBy(TERM).agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
 
 
-# Above this many rows (partitions x cap) the top-k merge of
-# ``orderBy().limit(cap)`` would funnel too much into its single final task,
-# and the distributed :func:`row_index` is used instead.
-TOP_K_MERGE_MAX = 20_000_000
+# Terms that a model on the driver may hold (coefficients, vocabulary, IDF).
+MODEL_TERMS_MAX = 8_000_000
 
 
-def vocabulary(stats: DataFrame, cap: int = VOCAB_CAP, min_df: int = 1) -> DataFrame:
-    """(term, term_index, tf, df) for the ``cap`` most frequent terms.
+def vocabulary(stats: DataFrame, cap: int | None = None, min_df: int = 1) -> DataFrame:
+    """(term, term_index, tf, df) of all terms, or of the ``cap`` most frequent.
 
-    Order: tf descending, term ascending. Small ``partitions x cap``: a
-    top-k (each task keeps ``cap`` rows) and a rank over those ``cap`` rows.
-    Otherwise a distributed sort with positions, cut at ``cap``.
+    Order: tf descending, term ascending; one distributed sort with positions,
+    whatever the size. There is no cap unless the caller asks for one.
     """
     kept = stats.where(F.col("df") >= F.lit(min_df))
-    order = [F.col("tf").desc(), F.col(TERM).asc()]
-    parts = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if parts * cap <= TOP_K_MERGE_MAX:
-        top = kept.orderBy(*order).limit(cap)
-        return top.select(TERM, (F.row_number().over(Window.orderBy(*order)) - 1)
-                          .cast("long").alias(TERM_INDEX), "tf", "df")
-    indexed = row_index(kept, order, TERM_INDEX)
-    return indexed.where(F.col(TERM_INDEX) < F.lit(cap)).select(TERM, TERM_INDEX, "tf", "df")
-
-
-def vocabulary_terms(vocab: DataFrame) -> list[str]:
-    """The vocabulary as a driver list, for ``CountVectorizerModel``.
-
-    Bounded by the vocabulary cap (2^18 by default); fetched as Arrow
-    batches and ordered on the driver.
-    """
-    table = vocab.select(TERM, TERM_INDEX).toArrow()
-    pairs = zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist())
-    return [t for _, t in sorted(pairs)]
+    indexed = row_index(kept, [F.col("tf").desc(), F.col(TERM).asc()], TERM_INDEX)
+    if cap is not None:
+        indexed = indexed.where(F.col(TERM_INDEX) < F.lit(cap))
+    return indexed.select(TERM, TERM_INDEX, "tf", "df")
 
 
 def idf(stats: DataFrame, n_docs) -> DataFrame:
@@ -80,21 +62,22 @@ def idf(stats: DataFrame, n_docs) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, doc_col: str, terms_col: str, vocab: DataFrame,
-          n_docs=None) -> DataFrame:
+          n_docs=None, skew: SkewSpec = SkewSpec()) -> DataFrame:
     """(doc, term, tf, tfidf) over vocabulary terms.
 
     IDF comes from the vocabulary's own document frequencies, i.e. from the
     documents the vocabulary was built on; ``n_docs`` is their number (a
-    Column or int; default: the rows of ``docs``). The vocabulary is bounded
-    by its cap and broadcast, so the term-frequency rows never shuffle for
-    this join.
+    Column or int; default: the rows of ``docs``). The vocabulary grows with
+    the corpus, so both sides are shuffled by term; terms of very many
+    documents (their ``df`` says how many rows they have) are salted.
     """
     if n_docs is None:
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
     weights = idf(vocab, n_docs)
     tf = term_frequency(docs, doc_col, terms_col)
-    return (tf.join(F.broadcast(weights), TERM, "inner")
-            .select(doc_col, TERM, "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+    hot = hot_keys(vocab, TERM, "df", skew)
+    joined = tf.join(weights, TERM, "inner") if hot.isEmpty() else salted_join(tf, weights, TERM, hot)
+    return joined.select(doc_col, TERM, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def count_vectorizer(terms: list[str], input_col: str, output_col: str):
@@ -130,14 +113,18 @@ def vocabulary_model(vocab: DataFrame, n_docs: int, input_col: str, tf_col: str,
     The IDF weights ``ln((N + 1) / (df + 1))`` come from the vocabulary's own
     document frequencies (computed on the same documents), so no extra pass
     over the corpus is needed; ``ElementwiseProduct`` applies them exactly as
-    ``IDFModel.transform`` would. All driver data here is bounded by the
-    vocabulary cap and fetched as Arrow.
+    ``IDFModel.transform`` would. The terms are fetched as Arrow; more than
+    ``MODEL_TERMS_MAX`` are an error, never a cut (choose ``min_df`` or a cap).
     """
     import math
 
     from pyspark.ml.feature import ElementwiseProduct
     from pyspark.ml.linalg import Vectors
 
+    n_terms = vocab.count()
+    if n_terms > MODEL_TERMS_MAX:
+        raise ValueError(f"{n_terms} terms are more than a model on the driver holds "
+                         f"({MODEL_TERMS_MAX}): set min_df or vocab_cap")
     table = vocab.select(TERM_INDEX, TERM, "df").toArrow()
     rows = sorted(zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist(),
                       table.column("df").to_pylist()))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N, SPLIT_SEED,
-                                     TOKEN_PATTERN, VOCAB_CAP)
+                                     TOKEN_PATTERN)
 from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
 from revlens.operators.sampling import hash_split
@@ -32,13 +32,19 @@ class KeyNgrams:
     vocabulary: DataFrame  # term, term_index, tf, df
     weights: DataFrame     # term, term_index, weight
     model: LinearSVCModel
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Unpersist the token arrays and the vocabulary."""
+        for df in self.held:
+            df.unpersist()
 
 
 def coefficient_frame(spark, model: LinearSVCModel, vocab: DataFrame) -> DataFrame:
     """(term, term_index, weight): the SVM weight of every vocabulary term.
 
     The coefficient vector lives on the driver (it is the model, bounded by
-    the vocabulary cap); it enters Spark as one array row and is exploded.
+    MODEL_TERMS_MAX); it enters Spark as one array row and is exploded.
     """
     coeffs = [float(x) for x in model.coefficients.toArray()]
     arr = spark.createDataFrame([(coeffs,)], "w array<double>")
@@ -52,7 +58,7 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
                per_side: int = KEY_EXTREMES_PER_SIDE, max_iter: int = 100,
                reg_param: float = 0.1, doc_col: str = "doc_id", text_col: str = "text",
                label_col: str = "label", output_col: str = "ngram_text",
-               pattern: str = TOKEN_PATTERN, vocab_cap: int = VOCAB_CAP,
+               pattern: str = TOKEN_PATTERN, vocab_cap: int | None = None, min_df: int = 1,
                fit_on_all: bool = False) -> KeyNgrams:
     """Find key n-grams and add ``output_col``: the glued text of every doc.
 
@@ -68,8 +74,8 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     words = tokens.withColumn("ngrams", ngrams("words", n))
     train, _ = hash_split(words, [0.8, 0.2], seed, [doc_col])
     fit_docs = words if fit_on_all else train
-    # bounded by the cap; kept, as the coefficients are joined back to it
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap).persist()
+    # kept, as the coefficients are joined back to it
+    vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap, min_df).persist()
     cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "ngrams", "tf", "tf_idf")
     feats = idf.transform(cv.transform(train)).select("tf_idf", label_col)
     svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",
@@ -78,4 +84,4 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     extremes = key_extremes(weights, per_side)
     keys = key_list(extremes)
     glued = words.withColumn(output_col, glue_list(join_words("words"), keys))
-    return KeyNgrams(glued, extremes, keys, vocab, weights, svc)
+    return KeyNgrams(glued, extremes, keys, vocab, weights, svc, (tokens, vocab))

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import SparkContext
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from revlens.operators.persona import (ITEM, RATING, USER, candidates,
 from revlens.operators.skew import SkewSpec
 from revlens.session import checkpoint_dir, write_table
 
+ALS_BLOCKS = 10
 CATALOG_COLS = (ITEM, "name", "address", "postal_code", "city")
 
 
@@ -35,6 +35,16 @@ class Prepared:
     item_ids: DataFrame  # business_id, business_id_numeric
 
 
+def prepare_catalog(business: DataFrame, on_missing: str = "error") -> tuple[DataFrame, DataFrame]:
+    """(catalog, item ids) from the business table alone.
+
+    A business without an id is an error, or is dropped with 'drop'.
+    """
+    item_ids = dense_ids(business, "business_id", ITEM)
+    catalog = encode(business, item_ids, "business_id", ITEM, on_missing)
+    return catalog.select(*CATALOG_COLS), item_ids
+
+
 def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
             skew: SkewSpec | None = SkewSpec(), materialize: bool = True) -> Prepared:
     """Number ids and encode the ratings.
@@ -46,10 +56,9 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     folder (three numeric columns), so the persona id, the candidate set and
     the ALS fit read them instead of re-running both lookup joins.
     """
-    item_ids = dense_ids(business, "business_id", ITEM)
+    catalog, item_ids = prepare_catalog(business, on_missing)
     freq = key_frequencies(reviews, ["user_id", "business_id"])
     user_ids = number_keys(freq["user_id"], "user_id", USER)
-    catalog = encode(business, item_ids, "business_id", ITEM, on_missing="drop")
     facts = reviews.select("user_id", "business_id", "stars")
     hot_u = hot_i = None
     if skew is not None:
@@ -64,24 +73,21 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     ratings = enc.select(USER, ITEM, F.col("stars").cast("double").alias(RATING))
     if materialize:
         ratings = write_table(ratings, "ratings")
-    return Prepared(catalog.select(*CATALOG_COLS), ratings, user_ids, item_ids)
+    return Prepared(catalog, ratings, user_ids, item_ids)
 
 
 def als_estimator(rank: int = 30, max_iter: int = 50, reg_param: float = 0.3,
-                  seed: int = ALS_SEED, num_blocks: int | None = None,
+                  seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS,
                   checkpoint_interval: int = 10) -> ALS:
     """Explicit-feedback ALS; unseen users or items give no prediction.
 
-    ``num_blocks`` (user and item blocks) defaults to the cluster's
-    parallelism, at least ALS's own 10 and at most 1024, so a large cluster
-    solves the normal equations on all its cores.
+    ``num_blocks`` (user and item blocks) decides how the factors start, so
+    it never follows the cluster: the same data and seed give the same model
+    anywhere. Raise it for a large cluster and keep it.
     """
     als = ALS(userCol=USER, itemCol=ITEM, ratingCol=RATING,
               coldStartStrategy="drop", seed=seed, rank=rank, maxIter=max_iter,
               regParam=reg_param, checkpointInterval=checkpoint_interval)
-    if num_blocks is None:
-        sc = SparkContext._active_spark_context
-        num_blocks = max(10, min(sc.defaultParallelism, 1024)) if sc else 10
     als.setNumBlocks(num_blocks)
     return als
 
@@ -140,7 +146,7 @@ def persona_id_of(ratings: DataFrame) -> int:
 
 def recommend(prep: Prepared, favourite: str, n: int = 10, rank: int = 30,
               max_iter: int = 50, reg_param: float = 0.3, literal: bool = False,
-              seed: int = ALS_SEED, num_blocks: int | None = None) -> Recommendation:
+              seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS) -> Recommendation:
     """Top-n items for a new user who rated every matching item 5.0."""
     favourites = require_match(match_items(prep.catalog, favourite, literal), favourite)
     uid = persona_id_of(prep.ratings)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      POSITIVE_MIN_STARS, SPLIT_SEED, SVM_REG_GRID,
-                                     TOKEN_PATTERN, VOCAB_CAP)
+                                     TOKEN_PATTERN)
 from revlens.functions.text import remove_stopwords, tokenize
 from revlens.operators.sampling import hash_split
 from revlens.operators.vocab import term_stats, vocabulary, vocabulary_model
@@ -48,13 +48,20 @@ class SentimentResult:
     keys: KeyNgrams
     model: TrainValidationSplitModel
     features: DataFrame          # all docs with final_tf_idf, and their split
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Unpersist everything the job has cached."""
+        self.keys.release()
+        for df in self.held:
+            df.unpersist()
 
 
 def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
               per_side: int = KEY_EXTREMES_PER_SIDE, key_max_iter: int = 100,
               key_reg: float = 0.1, max_iter: int = 100,
               reg_grid: Sequence[float] = SVM_REG_GRID, train_ratio: float = 0.8,
-              parallelism: int | None = None, vocab_cap: int = VOCAB_CAP,
+              parallelism: int | None = None, vocab_cap: int | None = None, min_df: int = 1,
               fit_on_all: bool = False, num_bins: int = 0,
               doc_col: str = "doc_id", pattern: str = TOKEN_PATTERN) -> SentimentResult:
     """Train and evaluate the classifier; AUROC is exact with ``num_bins=0``.
@@ -67,14 +74,14 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     labelled = label_reviews(reviews)
     kn = key_ngrams(labelled, n=n, seed=seed, per_side=per_side, max_iter=key_max_iter,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
-                    pattern=pattern, vocab_cap=vocab_cap, fit_on_all=fit_on_all)
+                    pattern=pattern, vocab_cap=vocab_cap, min_df=min_df, fit_on_all=fit_on_all)
     docs = (kn.docs.select(doc_col, "label", "ngram_text")
             .withColumn("words_with_ngrams", tokenize("ngram_text", pattern))
             .withColumn("filtered_words", remove_stopwords("words_with_ngrams"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
     fit_docs = docs if fit_on_all else train
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap).persist()
+    vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap, min_df).persist()
     cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "filtered_words", "final_tf",
                                   "final_tf_idf")
 
@@ -99,4 +106,4 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     best_reg = model.bestModel.getRegParam()
     validation = [(float(r), float(m)) for r, m in zip(reg_grid, model.validationMetrics)]
     return SentimentResult(scored, auroc, best_reg, validation, kn, model,
-                           features(docs))
+                           features(docs), (docs, vocab))

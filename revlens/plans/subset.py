@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from revlens.operators.sampling import first_n
 from revlens.sources.jsonio import read_json, write_json
@@ -13,7 +12,6 @@ from revlens.sources.schemas import BUSINESS_SCHEMA, REVIEW_SCHEMA
 
 RATING_COLS = ("user_id", "business_id", "stars")
 BUSINESS_COLS = ("business_id", "name", "address", "postal_code", "city")
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 def subset_ratings(reviews: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
@@ -21,35 +19,22 @@ def subset_ratings(reviews: DataFrame, n: int, order: Sequence[Column | str]) ->
     return first_n(reviews, n, order).select(*RATING_COLS)
 
 
-def subset_items(business: DataFrame, sample: DataFrame, n: int) -> DataFrame:
-    """Businesses rated at least once in the sample (left semi join).
-
-    The sample has at most n rows; below a million rows it is broadcast, so
-    the business table is filtered map-side with no shuffle.
-    """
-    keys = sample.select("business_id")
-    if n <= BROADCAST_MAX_ROWS:
-        keys = F.broadcast(keys)
-    return business.join(keys, "business_id", "left_semi").select(*BUSINESS_COLS)
+def subset_items(business: DataFrame, sample: DataFrame) -> DataFrame:
+    """Businesses rated at least once in the sample (left semi join; Spark
+    picks the join from the sides' sizes)."""
+    return business.join(sample.select("business_id"), "business_id", "left_semi").select(*BUSINESS_COLS)
 
 
-def create_and_write_debug_data(reviews: DataFrame, business: DataFrame, out_dir: str,
-                                n: int, order: Sequence[Column | str],
-                                overwrite: bool = True) -> tuple[str, str]:
-    """Write ``<out_dir>/debug_<n>_review`` and ``..._business`` as JSON.
+def write_subset(reviews: DataFrame, business: DataFrame, review_path: str, business_path: str, n: int,
+                 order: Sequence[Column | str], mode: str = "errorifexists") -> tuple[DataFrame, DataFrame]:
+    """Write the sample and its businesses as JSON; both as read back.
 
-    The sample is written first and read back, so both outputs see the same
-    rows and the ordered limit runs once.
+    The sample is written first and the businesses are chosen by what was
+    written, so the two files agree and the ordered limit runs once.
+    ``mode`` is Spark's save mode for both paths.
     """
-    mode = "overwrite" if overwrite else None
-    base = f"{out_dir.rstrip('/')}/debug_{n}"
-    review_path, business_path = base + "_review", base + "_business"
+    spark = reviews.sparkSession
     write_json(subset_ratings(reviews, n, order), review_path, mode)
-    sample = read_json(reviews.sparkSession, review_path, REVIEW_SCHEMA)
-    write_json(subset_items(business, sample, n), business_path, mode)
-    return review_path, business_path
-
-
-def read_debug_data(spark, review_path: str, business_path: str) -> tuple[DataFrame, DataFrame]:
-    return (read_json(spark, review_path, REVIEW_SCHEMA),
-            read_json(spark, business_path, BUSINESS_SCHEMA))
+    sample = read_json(spark, review_path, REVIEW_SCHEMA)
+    write_json(subset_items(business, sample), business_path, mode)
+    return sample, read_json(spark, business_path, BUSINESS_SCHEMA)

@@ -13,10 +13,9 @@ from revlens.operators.metrics import auroc, rmse
 from revlens.operators.persona import (ITEM, USER, candidates, persona_ratings,
                                        with_persona)
 from revlens.operators.sampling import label_split
-from revlens.plans.recommend import Prepared, prepare, top_n_per_group
+from revlens.plans.recommend import Prepared, prepare, prepare_catalog, top_n_per_group
 from revlens.plans.sentiment import label_reviews
-from revlens.plans.subset import (create_and_write_debug_data, read_debug_data,
-                                  subset_items, subset_ratings)
+from revlens.plans.subset import subset_items, subset_ratings, write_subset
 from revlens.queries.sql import BASE, TEXT, bucket
 from revlens.session import scratch_path
 from revlens.sources import tables
@@ -33,6 +32,11 @@ def _prep(spark: SparkSession, sf: str, materialize: bool = False) -> Prepared:
                    materialize=materialize)
 
 
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The prepared catalog, from the part table alone."""
+    return prepare_catalog(tables.catalog(spark, sf))[0]
+
+
 def _r(x, digits: int = 6):
     return F.round(x, digits)
 
@@ -45,13 +49,18 @@ def json_roundtrip(spark, sf):
     return read_json(spark, path, BUSINESS_SCHEMA)
 
 
-def debug_subset_written(spark, sf):
+def _subset_written(spark, sf):
     out = scratch_path(spark, "debug-subset")
-    paths = create_and_write_debug_data(
-        tables.reviews(spark, sf, with_order=True), tables.catalog(spark, sf), out,
-        SUBSET_N, tables.REVIEW_ORDER)
-    ratings, _ = read_debug_data(spark, *paths)
-    return ratings
+    return write_subset(tables.reviews(spark, sf, with_order=True), tables.catalog(spark, sf),
+                        f"{out}/ratings", f"{out}/businesses", SUBSET_N, tables.REVIEW_ORDER)
+
+
+def debug_subset_written(spark, sf):
+    return _subset_written(spark, sf)[0]
+
+
+def debug_subset_businesses(spark, sf):
+    return _subset_written(spark, sf)[1]
 
 
 # -- ids, projections, lookup joins ------------------------------------------
@@ -61,11 +70,11 @@ def user_ids(spark, sf):
 
 
 def item_ids(spark, sf):
-    return _prep(spark, sf).item_ids
+    return prepare_catalog(tables.catalog(spark, sf))[1]
 
 
 def catalog_projection(spark, sf):
-    return _prep(spark, sf).catalog
+    return _catalog(spark, sf)
 
 
 def ratings_projection(spark, sf):
@@ -87,40 +96,56 @@ def orphan_ratings(spark, sf):
     return by_item.unionByName(by_user).distinct()
 
 
+def orphan_documents(spark, sf):
+    """Documents without a label: orphans of a lookup that are really there."""
+    docs = tables.table(spark, sf, "documents").select("doc_id", "source")
+    return orphans(docs, tables.table(spark, sf, "labels").select("doc_id"), "doc_id")
+
+
 def drop_columns(spark, sf):
-    return _prep(spark, sf).catalog.drop("business_id", ITEM)
+    return _catalog(spark, sf).drop("business_id", ITEM)
 
 
 def describe_items(spark, sf):
-    return describe(_prep(spark, sf).catalog).select(ITEM, "description")
+    return describe(_catalog(spark, sf)).select(ITEM, "description")
 
 
 # -- filters --------------------------------------------------------------------
 
 def match_items_exact(spark, sf):
-    return match_items(_prep(spark, sf).catalog, FAVOURITE)
+    return match_items(_catalog(spark, sf), FAVOURITE)
 
 
 def match_items_pattern(spark, sf):
-    return match_items(_prep(spark, sf).catalog, "Red%")
+    return match_items(_catalog(spark, sf), "Red%")
 
 
 def match_items_wildcard(spark, sf):
-    return match_items(_prep(spark, sf).catalog, "red_plate")
+    return match_items(_catalog(spark, sf), "red_plate")
 
 
 def match_count(spark, sf):
-    return match_items(_prep(spark, sf).catalog, FAVOURITE).agg(
+    return match_items(_catalog(spark, sf), FAVOURITE).agg(
         F.count(F.lit(1)).alias("n_matches"))
 
 
 def persona_matches(spark, sf):
-    return match_personas(tables.personas(spark, sf), _prep(spark, sf).catalog).select(
+    return match_personas(tables.personas(spark, sf), _catalog(spark, sf)).select(
         "persona", ITEM, "name")
 
 
 def unmatched_personas_q(spark, sf):
-    return unmatched_personas(tables.personas(spark, sf), _prep(spark, sf).catalog)
+    return unmatched_personas(tables.personas(spark, sf), _catalog(spark, sf))
+
+
+def persona_matches_mixed(spark, sf):
+    """Patterns with capitals: exact, prefix and inner wildcard."""
+    part = tables.table(spark, sf, "part").select(F.upper("p_name").alias("persona")).distinct()
+    word = F.element_at(F.split("persona", " "), 1)
+    mixed = part.select("persona", F.explode(F.array("persona", F.concat(word, F.lit("%")),
+                                                     F.concat(F.lit("%"), F.element_at(F.split("persona", " "), -1))))
+                        .alias("pattern"))
+    return match_personas(mixed, _catalog(spark, sf)).select("persona", "pattern", ITEM, "name")
 
 
 def items_in_set_q(spark, sf):
@@ -180,7 +205,7 @@ def debug_subset_ratings(spark, sf):
 
 def debug_subset_items(spark, sf):
     sample = debug_subset_ratings(spark, sf)
-    return subset_items(tables.catalog(spark, sf), sample, SUBSET_N)
+    return subset_items(tables.catalog(spark, sf), sample)
 
 
 # -- metrics -------------------------------------------------------------------
@@ -242,6 +267,15 @@ SQL = {
     "persona_matches": BASE + (
         f"SELECT p.persona, c.business_id_numeric, c.name FROM {_PERSONAS} p "
         "JOIN catalog c ON lower(c.name) LIKE p.pattern"),
+    "persona_matches_mixed": BASE + (
+        ", p AS (SELECT DISTINCT upper(p_name) AS persona FROM part), "
+        "q AS (SELECT persona, unnest([persona, split_part(persona, ' ', 1) || '%', "
+        "'%' || list_extract(string_split(persona, ' '), -1)]) AS pattern FROM p) "
+        "SELECT q.persona, q.pattern, c.business_id_numeric, c.name FROM q "
+        "JOIN catalog c ON lower(c.name) LIKE lower(q.pattern)"),
+    "orphan_documents": (
+        "SELECT doc_id, source FROM documents d WHERE NOT EXISTS "
+        "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"),
     "unmatched_personas": (
         f"SELECT persona, pattern FROM {_PERSONAS} p WHERE NOT EXISTS "
         "(SELECT 1 FROM part c WHERE lower(c.p_name) LIKE p.pattern)"),
@@ -306,6 +340,9 @@ QUERIES = {
     "match_items_pattern": (match_items_pattern, SQL["match_items_pattern"]),
     "match_items_wildcard": (match_items_wildcard, SQL["match_items_wildcard"]),
     "match_count": (match_count, SQL["match_count"]),
+    "persona_matches_mixed": (persona_matches_mixed, SQL["persona_matches_mixed"]),
+    "orphan_documents": (orphan_documents, SQL["orphan_documents"]),
+    "debug_subset_businesses": (debug_subset_businesses, SQL["debug_subset_items"]),
     "persona_matches": (persona_matches, SQL["persona_matches"]),
     "unmatched_personas": (unmatched_personas_q, SQL["unmatched_personas"]),
     "items_in_set": (items_in_set_q, SQL["items_in_set"]),

@@ -53,6 +53,16 @@ toks AS (
 """
 
 
+# The text of every document.
+DOCS = """
+WITH texts AS (SELECT doc_id, text FROM documents),
+toks AS (
+  SELECT doc_id,
+         regexp_extract_all(regexp_replace(lower(text), '''\\w', ' ', 'g'), '\\w+') AS w
+  FROM texts)
+"""
+
+
 def bigram_list(words: str = "w") -> str:
     return f"[{words}[i] || ' ' || {words}[i + 1] for i in range(1, len({words}))]"
 

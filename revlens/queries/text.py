@@ -10,7 +10,7 @@ from revlens.functions.text import glue_list, join_words, ngrams, remove_stopwor
 from revlens.operators.extremes import key_extremes
 from revlens.operators.vocab import (TERM, term_frequency, term_stats, tfidf,
                                      vocabulary)
-from revlens.queries.sql import TEXT, bigram_list, filtered_list
+from revlens.queries.sql import DOCS as TEXT, bigram_list, filtered_list
 from revlens.sources import tables
 
 GLUE_KEYS = 20
@@ -18,7 +18,7 @@ EXTREMES_N = 50
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.labelled_text(spark, sf)
+    docs = tables.review_text(spark, sf)
     return docs.select("doc_id", tokenize(F.lower(F.col("text"))).alias("words"))
 
 
@@ -111,7 +111,7 @@ def _stats_sql(list_expr: str) -> str:
             "tfd AS (SELECT doc_id, term, count(*) AS tf FROM pairs GROUP BY doc_id, term), "
             "st AS (SELECT term, sum(tf) AS tf, count(*) AS df FROM tfd GROUP BY term), "
             "vocab AS (SELECT term, row_number() OVER (ORDER BY tf DESC, term) - 1 AS term_index, "
-            "tf, df FROM st QUALIFY term_index < 262144) ")
+            "tf, df FROM st) ")
 
 
 def _tfidf_sql(list_expr: str) -> str:

@@ -20,22 +20,7 @@ REVIEW_SCHEMA = T.StructType([
 
 # Review file, text view.
 REVIEW_TEXT_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()),
+    T.StructField("review_id", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("stars", T.DoubleType()),
 ])
-
-# Prepared tables.
-CATALOG_SCHEMA = T.StructType([
-    T.StructField("business_id_numeric", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("address", T.StringType()),
-    T.StructField("postal_code", T.StringType()),
-    T.StructField("city", T.StringType()),
-])
-
-RATINGS_SCHEMA = T.StructType([
-    T.StructField("user_id_numeric", T.IntegerType()),
-    T.StructField("business_id_numeric", T.IntegerType()),
-    T.StructField("rating", T.DoubleType()),
-])

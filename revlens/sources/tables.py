@@ -22,24 +22,8 @@ REVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                 "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
-# Hash key per table, used to spread a scan that comes out in few partitions.
-TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
-              "documents": "doc_id", "customer": "c_custkey"}
-
-
-def spread(df: DataFrame, key: str | None) -> DataFrame:
-    """Hash-repartition by ``key`` when the scan has fewer partitions than
-    the session has cores (e.g. one file holding one row group); otherwise
-    leave it alone, so a large, well-split input pays no extra shuffle."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if key is None or df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism, key)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, TABLE_KEYS.get(name))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def reviews(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
@@ -78,6 +62,11 @@ def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every document: (doc_id, text)."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Favourite patterns derived from the part types: (persona, pattern)."""
     return (table(spark, sf_dir, "part")

@@ -1,0 +1,35 @@
+"""The jobs from JSON files, end to end."""
+
+from revlens.plans.files import (match_report, prepare_files, recommend_files, sentiment_files,
+                                 tune_and_recommend)
+from revlens.plans.tune import als_grid_search
+from revlens.sources import tables
+from revlens.sources.jsonio import write_json
+
+
+def test_report_and_tuned_report(spark, sf001, tmp_path):
+    business, review = str(tmp_path / "business"), str(tmp_path / "review")
+    write_json(tables.catalog(spark, sf001), business, mode=None)
+    write_json(tables.reviews(spark, sf001), review, mode=None)
+    rec = recommend_files(spark, business, review, "red plate", n=5, rank=4, max_iter=2)
+    assert [r["position"] for r in rec.report.orderBy("position").collect()] == [1, 2, 3, 4, 5]
+    prep = prepare_files(spark, business, review)
+    n, lines = match_report(prep.catalog, "Red%")
+    assert n == lines.count() > 0
+    grid, tuned = tune_and_recommend(prep, "red plate", [2, 4], [0.1], 2, n=3, parallelism=2)
+    rmse = {r["rank"]: r["rmse"] for r in grid.results.collect()}
+    assert rmse[grid.best_rank] == min(rmse.values()) and tuned.model.rank == grid.best_rank
+    again = als_grid_search(prep.ratings, [2, 4], [0.1], 2)
+    assert {r["rank"]: round(r["rmse"], 9) for r in again.results.collect()} == \
+        {k: round(v, 9) for k, v in rmse.items()}
+
+
+def test_sentiment_from_a_file(spark, sf001, tmp_path):
+    path = str(tmp_path / "reviews")
+    docs = tables.labelled_text(spark, sf001)
+    write_json(docs.selectExpr("cast(doc_id as string) AS review_id", "text", "stars"), path, mode=None)
+    res = sentiment_files(spark, path, key_max_iter=3, max_iter=3, reg_grid=(0.1, 1.0))
+    assert 0.0 <= res.auroc <= 1.0 and res.scored.count() > 0
+    held = len(spark.sparkContext._jsc.getPersistentRDDs())
+    res.release()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) < held

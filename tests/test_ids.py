@@ -67,7 +67,7 @@ def test_salted_join_equals_plain_join(spark):
     table = spark.createDataFrame([("hot", 100)] + [(f"k{i}", i) for i in range(50)],
                                   "key string, id int")
     freq = key_counts(facts, "key")
-    spec = SkewSpec(share=0.1, min_rows=0, rows_per_salt=50)
+    spec = SkewSpec(min_rows=100, rows_per_salt=50)
     hot = hot_keys(freq, "key", "n_rows", spec)
     hot_rows = hot.collect()
     assert [r["key"] for r in hot_rows] == ["hot"] and hot_rows[0]["_rl_salts"] == 8

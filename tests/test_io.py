@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import types as T
 
-from revlens.plans.subset import create_and_write_debug_data, read_debug_data
+from revlens.plans.subset import write_subset
 from revlens.sources import tables
 from revlens.sources.jsonio import local_rows, read_json, write_json
 
@@ -14,7 +14,7 @@ PEOPLE = T.StructType([T.StructField("name", T.StringType(), False),
 
 
 def test_local_rows_and_t14_sink_modes(spark):
-    df = local_rows(spark, [Row("Ralf", 26), Row("Frank", 28), Row("Ute", 54), Row("Bernhard", 58)],
+    df = local_rows(spark, [Row("Ines", 31), Row("Okoro", 19), Row("Mei", 44)],
                     PEOPLE)
     path = os.path.join(tempfile.mkdtemp(prefix="revlens-io-"), "people")
     write_json(df, path, mode=None, single_file=True)
@@ -32,11 +32,9 @@ def test_local_rows_and_t14_sink_modes(spark):
 
 def test_debug_subset_is_consistent(spark, sf001):
     out = tempfile.mkdtemp(prefix="revlens-subset-")
-    paths = create_and_write_debug_data(
-        tables.reviews(spark, sf001, with_order=True), tables.catalog(spark, sf001), out,
-        100, tables.REVIEW_ORDER)
-    assert paths[0].endswith("debug_100_review")
-    ratings, business = read_debug_data(spark, *paths)
+    ratings, business = write_subset(
+        tables.reviews(spark, sf001, with_order=True), tables.catalog(spark, sf001),
+        f"{out}/r", f"{out}/b", 100, tables.REVIEW_ORDER)
     assert ratings.count() == 100
     rated = {r["business_id"] for r in ratings.collect()}
     assert {r["business_id"] for r in business.collect()} == rated

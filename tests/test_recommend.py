@@ -127,7 +127,7 @@ def test_prepare_salts_only_hot_keys(spark):
     b, r = _planted(spark, n_users=10, n_items=10)
     plain = prepare(b, r, materialize=False)
     assert "_rl_salt" not in plain.ratings._jdf.queryExecution().executedPlan().toString()
-    salted = prepare(b, r, materialize=False, skew=SkewSpec(share=0.05, min_rows=0, rows_per_salt=3))
+    salted = prepare(b, r, materialize=False, skew=SkewSpec(min_rows=3, rows_per_salt=3))
     assert "_rl_salt" in salted.ratings._jdf.queryExecution().executedPlan().toString()
     key = lambda df: sorted(tuple(x) for x in df.collect())
     assert key(plain.ratings) == key(salted.ratings)

@@ -64,9 +64,9 @@ def test_vocabulary_order_and_cap(spark):
 
 
 def test_t4_gluing_substring_semantics(spark):
-    df = spark.createDataFrame([("hi i ralf skip it alf a a a",)], "t string")
-    got = df.select(glue_list("t", ["i ralf", "kip it", "a a"]).alias("g")).first()["g"]
-    assert got == "hi i_ralf skip_it alf a_a a"
+    df = spark.createDataFrame([("tea a team eat it a a a",)], "t string")
+    got = df.select(glue_list("t", ["a team", "at it", "a a"]).alias("g")).first()["g"]
+    assert got == "tea_a_team eat_it a_a a"
     # a key listed twice applies twice: "a a a" -> "a_a a" -> "a_a_a"
     one = spark.createDataFrame([("a a a",)], "t string")
     assert one.select(glue_list("t", ["a a"]).alias("g")).first()["g"] == "a_a a"
@@ -77,15 +77,9 @@ def test_glue_matches_python_str_replace_semantics(spark):
     texts = ["not good at all not good", "very good very good food", "good"]
     keys = ["not good", "very good", "good food"]
 
-    def build(sentence):
-        for k in keys:
-            if k in sentence:
-                sentence = sentence.replace(k, k.replace(" ", "_"))
-        return sentence
-
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["g"] for r in df.select(glue_list("t", keys).alias("g")).collect()]
-    assert got == [build(t) for t in texts]
+    assert got == ["not_good at all not_good", "very_good very_good_food", "good"]
 
 
 def test_stopwords_list_and_transformer(spark):

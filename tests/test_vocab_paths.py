@@ -1,19 +1,40 @@
-"""Both vocabulary paths (top-k merge, distributed positions) agree."""
+"""Vocabulary order with and without a cap; no term is lost unless asked."""
 
 import random
 
+import pytest
+
 from revlens.operators import vocab as V
+from revlens.operators.skew import SkewSpec
 
 
-def test_vocabulary_paths_agree(spark, monkeypatch):
+def _docs(spark):
     rnd = random.Random(4)
     words = [f"w{i}" for i in range(60)]
-    docs = spark.createDataFrame(
+    return spark.createDataFrame(
         [(d, [rnd.choice(words) for _ in range(rnd.randint(0, 30))]) for d in range(80)],
         "doc_id long, w array<string>")
-    stats = V.term_stats(docs, "doc_id", "w")
-    top_k = sorted(tuple(r) for r in V.vocabulary(stats, cap=25).collect())
-    monkeypatch.setattr(V, "TOP_K_MERGE_MAX", 0)
-    positional = sorted(tuple(r) for r in V.vocabulary(stats, cap=25).collect())
-    assert top_k == positional
-    assert [r[1] for r in sorted(top_k, key=lambda r: r[1])] == list(range(25))
+
+
+def test_cap_is_a_prefix_of_the_whole(spark):
+    stats = V.term_stats(_docs(spark), "doc_id", "w")
+    whole = V.vocabulary(stats).orderBy("term_index").collect()
+    assert len(whole) == stats.count()
+    assert [r["term_index"] for r in whole] == list(range(len(whole)))
+    assert [tuple(r) for r in whole] == sorted((tuple(r) for r in whole), key=lambda r: (-r[2], r[0]))
+    assert V.vocabulary(stats, cap=25).orderBy("term_index").collect() == whole[:25]
+
+
+def test_tfidf_with_salted_terms(spark):
+    docs = _docs(spark)
+    vocab = V.vocabulary(V.term_stats(docs, "doc_id", "w"))
+    plain = V.tfidf(docs, "doc_id", "w", vocab)
+    salted = V.tfidf(docs, "doc_id", "w", vocab, skew=SkewSpec(min_rows=5, rows_per_salt=2))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_too_many_terms_for_a_model_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(V, "MODEL_TERMS_MAX", 10)
+    vocab = V.vocabulary(V.term_stats(_docs(spark), "doc_id", "w"))
+    with pytest.raises(ValueError, match="vocab_cap"):
+        V.vocabulary_model(vocab, 80, "w", "tf", "x")
