@@ -68,3 +68,55 @@ QUERIES = {f.__name__: f for f in (op1_shard_table, op2_license_scan, op3_langua
                                    op6_embedding_dedup, op7_ngram_join, op8_suffix_dedup, op9_substring_dedup,
                                    op10_curriculum_mix)}
 ORACLES: dict[str, str] = {}
+
+# -- oracles: what SQL can say ------------------------------------------------------
+
+ORACLES["op9_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM s),
+f AS (SELECT g, min(doc_id) AS m FROM g GROUP BY g),
+h AS (SELECT doc_id, i FROM g JOIN f USING (g) WHERE doc_id > m),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM h, range(50) t(k)),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept FROM x
+      WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = x.doc_id AND gone.i = x.i) GROUP BY x.doc_id),
+c AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+ORACLES["op10_curriculum_mix"] = r"""
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+      FROM d GROUP BY source),
+w AS (SELECT *, CAST(1 + r % 3 AS DOUBLE) AS w FROM s),
+o AS (SELECT *, coalesce(sum(3 * n) OVER b, 0) AS full_before, sum(w) OVER a AS open_w FROM w
+      WINDOW b AS (ORDER BY 3 * n / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             a AS (ORDER BY 3 * n / w, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+lv AS (SELECT *, CAST((SELECT sum(n) FROM s) - full_before AS DOUBLE) / open_w AS level FROM o),
+l AS (SELECT level FROM lv WHERE level * w <= 3 * n ORDER BY 3 * n / w, r LIMIT 1),
+t AS (SELECT w.*, CASE WHEN (SELECT level FROM l) * w > 3 * n THEN CAST(3 * n AS DOUBLE)
+                       ELSE (SELECT level FROM l) * w END AS target,
+             [1.5, 1.0, 0.5][1 + r % 3]::DOUBLE AS a, [0.5, 1.0, 1.5][1 + r % 3]::DOUBLE AS b FROM w),
+p AS (SELECT d.doc_id, d.size, t.n, t.target, t.a, t.b, CAST(floor(t.target) AS BIGINT) AS whole,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id NULLS LAST, d.size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, [greatest(0, least(size, whole - (before + e * n))) FOR e IN [0, 1, 2]] AS parts,
+             before / target AS share FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target, CAST(list_sum(parts) AS BIGINT) AS taken,
+       CAST(len([x FOR x IN parts IF x > 0]) AS BIGINT) AS copies,
+       CASE WHEN parts[1] > 0 THEN least(greatest(CASE WHEN a = b THEN share ELSE
+         (sqrt(greatest(a * a + 2 * (b - a) * (share * (a + b) / 2), 0.0)) - a) / (b - a) END, 0.0), 1.0) + 0.0 END AS position
+FROM q
+"""
+
+# The table is filled here; the SQL hashes and looks up.
+ORACLES["op1_shard_table"] = (
+    "WITH s AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::UBIGINT "
+    f"% {sharding.TABLE_SIZE} AS BIGINT) AS slot FROM documents), "
+    f"t AS (SELECT {sharding.fill_table(SHARDS).tolist()} AS owner) "
+    "SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0') AS shard FROM s, t")

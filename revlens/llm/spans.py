@@ -93,10 +93,11 @@ def write_spans(found: DataFrame) -> DataFrame:
                        .mapInArrow(tidy(run), "rid long, los array<long>, his array<long>"), "spans")
 
 
-def with_spans(rows: DataFrame, spans: DataFrame, key: str = "rid") -> DataFrame:
+def with_spans(rows: DataFrame, spans: DataFrame, key: str = "rid", los: str = "los",
+               his: str = "his") -> DataFrame:
     """``rows`` with the spans of their key (null arrays where there are none)."""
     size = spans.agg(F.sum(F.size("los") * 16 + 48).alias("b")).first()["b"] or 0
-    right = spans.select(F.col("rid").alias(key), "los", "his")
+    right = spans.select(F.col("rid").alias(key), F.col("los").alias(los), F.col("his").alias(his))
     return join_measured(rows, right, key, "left", int(size))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, flat_ranges, keyed,
+from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, flat_ranges, fresh, keyed,
                                 keyed_texts, mix64, runs, tidy, word_hashes, word_spans)
 from revlens.llm.spans import covered, window_runs, with_spans, write_spans
 from revlens.session import write_table
@@ -249,9 +249,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     rows, key, _ = keyed(docs, id_col, text_col)
     texts = rows.select(col(key).cast("long").alias("rid"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     spans = repeated_spans(texts, window)
-    los, his = fresh_pair(rows)
-    both = with_spans(rows, spans, key).withColumnsRenamed({"los": los, "his": his}) if (los, his) != ("los", "his") \
-        else with_spans(rows, spans, key)
+    los, his = fresh(rows, "los"), fresh(rows, "his")
+    both = with_spans(rows, spans, key, los, his)
     at, a, b = (both.columns.index(c) for c in (text_col, los, his))
     keep = [i for i, c in enumerate(both.columns) if c not in (key, los, his)]
     schema = T.StructType([both.schema.fields[i] for i in keep])
@@ -266,10 +265,3 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
             yield pa.RecordBatch.from_arrays([texts if i == at else batch.column(i) for i in keep], schema.names)
 
     return both.mapInArrow(tidy(run), schema)
-
-
-def fresh_pair(rows: DataFrame) -> tuple[str, str]:
-    taken = {c.lower() for c in rows.columns}
-    if taken & {"los", "his"}:
-        raise ValueError("columns named los or his would clash: rename them first")
-    return "los", "his"

@@ -139,6 +139,12 @@ def test_removal_keeps_columns_and_clean_texts(odd_docs):
     assert sum(kept.values()) == len(after)
 
 
+def test_removal_with_clashing_columns(odd_docs):
+    clash = odd_docs.withColumnRenamed("score", "los").withColumnRenamed("source", "His")
+    out = substring_dedup.remove(clash)
+    assert out.columns == clash.columns and out.count() == clash.count()
+
+
 def test_cut_words_leaves_the_rest_as_it_stood():
     assert substring_dedup.cut_words(b"  a b\n c  d e ", [1], [3]) == b"  a d e "
     assert substring_dedup.cut_words(b"a b", [0], [2]) == b""
