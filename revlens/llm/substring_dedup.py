@@ -3,10 +3,11 @@
 Every window of ``window`` consecutive words is hashed from rolling prefix
 hashes. Windows travel in runs that share an anchor (see
 :mod:`revlens.llm.spans`): a row holds the anchor and the packed hashes of
-its windows, so a window costs five bytes of shuffle. Under its anchor each
+its windows, so a window costs eight bytes of shuffle. Under its anchor each
 window hash is counted; a window that also starts in a document with a
 smaller key marks its words, and marked windows merge into maximal removal
-intervals. Anchor (64 bits) and window hash (40 bits) together name a window.
+intervals. Anchor and window hash, 64 bits each, together name a window; the
+hash alone tells apart the many contexts of one common passage.
 
 Before the shuffle each task folds equal runs, so a passage that stands in
 many documents leaves it once. An anchor with more than ``HOT_WINDOWS``
@@ -39,7 +40,7 @@ WINDOW = 50
 FOLD_ROWS = 100_000        # runs a task folds at a time
 TASK_WINDOWS = 500_000     # windows counted at a time
 HOT_WINDOWS = 4_000_000    # windows of one anchor that one task counts
-PACK = 5                   # bytes of a window's hash
+PACK = 8                   # bytes of a window's hash
 
 ROWS = "akey long, rid long, lo long, n int, body binary"
 
@@ -77,7 +78,7 @@ def _window_rows(window: int):
                 if not len(first):
                     continue
                 every = mix64(prefix.windows(window))[flat_ranges(first, n)]
-                packed = np.ascontiguousarray(every.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACK]).tobytes()
+                packed = every.astype("<u8").tobytes()
                 ends_at = np.cumsum(n) * PACK
                 bodies += [packed[b - PACK * k:b] for b, k in zip(ends_at.tolist(), n.tolist())]
                 held.append((anchor.view(np.int64), keys[lo + doc], first - cut[doc], n))
@@ -103,10 +104,8 @@ def _count_windows(window: int, hot: int):
 
     def expand(akey, rid, lo, n, body):
         """Single windows: (anchor, hash, key, start)."""
-        raw = np.zeros((len(body) // PACK, 8), np.uint8)
-        raw[:, :PACK] = body.reshape(-1, PACK)
         row = np.repeat(np.arange(len(n)), n)
-        return akey[row], raw.view("<u8").ravel(), rid[row], flat_ranges(lo, n)
+        return akey[row], body.view("<u8"), rid[row], flat_ranges(lo, n)
 
     def resolve(akey, rid, lo, n, body) -> Iterator[pa.RecordBatch]:
         # anchors of one document only have nothing to count

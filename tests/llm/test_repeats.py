@@ -73,7 +73,7 @@ def test_substring_hot_anchor_across_batches(monkeypatch, docs):
 
     # three rows of one anchor, then another anchor: streamed in batches of one row
     def row(akey, rid, hashes):
-        body = b"".join(int(h).to_bytes(5, "little") for h in hashes)
+        body = b"".join(int(h).to_bytes(substring_dedup.PACK, "little") for h in hashes)
         return pa.RecordBatch.from_arrays([pa.array([akey]), pa.array([rid]), pa.array([0]),
                                            pa.array([len(hashes)], pa.int32()), pa.array([body], pa.binary())],
                                           ["akey", "rid", "lo", "n", "body"])
