@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplitModel, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +45,10 @@ class SentimentResult:
     auroc: float
     best_reg: float
     validation: list[tuple[float, float]]   # (regParam, validation AUROC)
+    n_validation: int            # documents held back to choose regParam
     keys: KeyNgrams
-    model: TrainValidationSplitModel
-    features: DataFrame          # all docs with final_tf_idf, and their split
+    model: LinearSVCModel        # the best regParam, fitted on the whole training side
+    features: DataFrame          # doc_id, label, features of all docs
     held: tuple[DataFrame, ...] = ()
 
     def release(self) -> None:
@@ -66,8 +67,10 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
               doc_col: str = "doc_id", pattern: str = TOKEN_PATTERN) -> SentimentResult:
     """Train and evaluate the classifier; AUROC is exact with ``num_bins=0``.
 
+    regParam is chosen on a part of the training side that a hash of the
+    document id holds back, then fitted on the whole training side.
     ``parallelism``: grid cells fitted concurrently (default: the grid size,
-    at most 4); they share the cached train/validation parts.
+    at most 4); they share the cached training features.
     """
     if parallelism is None:
         parallelism = max(1, min(len(reg_grid), 4))
@@ -75,35 +78,39 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     kn = key_ngrams(labelled, n=n, seed=seed, per_side=per_side, max_iter=key_max_iter,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
                     pattern=pattern, vocab_cap=vocab_cap, min_df=min_df, fit_on_all=fit_on_all)
-    docs = (kn.docs.select(doc_col, "label", "ngram_text")
-            .withColumn("words_with_ngrams", tokenize("ngram_text", pattern))
-            .withColumn("filtered_words", remove_stopwords("words_with_ngrams"))
+    docs = (kn.docs.select(doc_col, "label", remove_stopwords(tokenize("ngram_text", pattern)).alias("kept"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
     fit_docs = docs if fit_on_all else train
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "filtered_words"), vocab_cap, min_df).persist()
-    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "filtered_words", "final_tf",
-                                  "final_tf_idf")
+    vocab = vocabulary(term_stats(fit_docs, doc_col, "kept"), vocab_cap, min_df).persist()
+    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "kept", "counts", "features")
 
     def features(df: DataFrame) -> DataFrame:
-        return idf.transform(cv.transform(df)).select(doc_col, "label", "final_tf_idf")
+        return idf.transform(cv.transform(df)).select(doc_col, "label", "features")
 
-    # TrainValidationSplit caches its own train/validation parts.
-    train_f = features(train)
+    train_f = features(train).persist(StorageLevel.MEMORY_AND_DISK)
     test_f = features(test)
-    svc = LinearSVC(maxIter=max_iter, featuresCol="final_tf_idf", labelCol="label")
-    grid = ParamGridBuilder().addGrid(svc.regParam, [float(r) for r in reg_grid]).build()
+    svc = LinearSVC(maxIter=max_iter, labelCol="label")
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
                                               labelCol="label", numBins=num_bins)
-    tvs = TrainValidationSplit(estimator=svc, estimatorParamMaps=grid,
-                               evaluator=evaluator, trainRatio=train_ratio,
-                               seed=seed, parallelism=parallelism)
-    model = tvs.fit(train_f)
+    # another seed than the outer split's, whose buckets end at the training side
+    inner, held_back = hash_split(train_f, [train_ratio, 1 - train_ratio], seed + 1, [doc_col])
+    n_validation = held_back.count()
+    if not n_validation:
+        raise ValueError("no document falls on the validation side")
+
+    def run(reg: float) -> float:
+        return evaluator.evaluate(svc.fit(inner, {svc.regParam: reg}).transform(held_back))
+
+    regs = [float(r) for r in reg_grid]
+    with ThreadPool(max(1, parallelism)) as pool:
+        metrics = pool.map(inheritable_thread_target(reviews.sparkSession)(run), regs, 1)
+    best_reg = regs[max(range(len(regs)), key=lambda i: metrics[i])]  # ties: the earlier one
+    model = svc.fit(train_f, {svc.regParam: best_reg})
+    train_f.unpersist()
     scored = (model.transform(test_f)
               .select(doc_col, "label", "prediction", "rawPrediction",
                       vector_to_array("rawPrediction")[1].alias("margin")))
     auroc = evaluator.evaluate(scored)
-    best_reg = model.bestModel.getRegParam()
-    validation = [(float(r), float(m)) for r, m in zip(reg_grid, model.validationMetrics)]
-    return SentimentResult(scored, auroc, best_reg, validation, kn, model,
-                           features(docs), (docs, vocab))
+    return SentimentResult(scored, auroc, best_reg, list(zip(regs, metrics)), n_validation, kn,
+                           model, features(docs), (docs, vocab))

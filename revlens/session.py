@@ -33,9 +33,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/revlens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/revlens/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path in the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove what this application has written with :func:`write_table`.
+
+    Results read those tables lazily, so only the caller knows when they are
+    no longer needed. Other applications' folders stay. False when there was
+    nothing to remove.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:
