@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline as p
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.llm import langid
 
@@ -89,3 +90,21 @@ def test_single_stages_on_odd_rows(odd_docs, spark):
     assert p.source_mix(spark, odd_docs, "").columns == odd_docs.columns
     assert p.pack(spark, odd_docs, "").count() >= n
     assert [name for name, _ in p.STAGES] and re and corpus(True)
+
+
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_language_never_learned_goes(spark, out):
+    """Posteriors saturate: texts of a language left out of training, other
+    scripts, random letters and mojibake go by their fit; clean texts stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*COLUMNS)
+    texts = ["Сегодня хорошая погода, и мы идём гулять по старому городу", "xqzv kjwq zzxk qpwv jjkx wvqz " * 4,
+             "Ã©tÃ© dÃ©jÃ\xa0 Ã¼ber grÃ¶ÃŸe Ã±andÃº Ð¿Ñ€Ð¸Ð²ÐµÑ‚"]
+    odd = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(texts)], docs.schema)
+    masked = docs.withColumn("lang", F.when(F.col("lang") != out, F.col("lang"))).unionByName(odd)
+    letters = {r["doc_id"]: r["lang"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    kept = {r["doc_id"] for r in p.language_id(spark, masked, "").collect()}
+    never = [i for i, lang in letters.items() if lang == out]
+    clean = [i for i, lang in letters.items() if lang != out]
+    assert not kept & {10**9 + i for i in range(len(texts))}
+    assert len(kept & set(never)) <= 0.03 * len(never)
+    assert len(kept & set(clean)) >= 0.995 * len(clean)
