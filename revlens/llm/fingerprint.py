@@ -7,9 +7,10 @@ its value is ln a = ln c - r (t - b + 1), and the sample is the (term, t) of
 the smallest value. Two texts agree in a sample with a probability equal to
 their generalised Jaccard similarity (sum of minima over sum of maxima).
 
-The variates come from fixed pools of ``POOL`` draws, addressed by a hash of
-the term that differs from sample to sample; equal values are told apart by
-the term's hash. A sample is kept as 16 bits.
+The variates come from 64-bit mixes of the term's hash and the sample's
+number, so every term has its own, however many terms a text has; terms that
+stand in several texts of a chunk with one weight are drawn once. Equal values
+are told apart by the term's hash. A sample is kept as 16 bits.
 
 The edited text takes the place of a document's last half by the beginning
 of the next document in descending id. Rows go to buckets of neighbouring
@@ -36,19 +37,13 @@ from revlens.llm.common import (CHUNK_BYTES, NOT_SPACE, keyed_texts, mix64, runs
                                 word_spans)
 
 SAMPLES = 64
-POOL = 1 << 16
-_TABLES: dict[int, tuple] = {}
+SEED = 0x9E3779B97F4A7C15
 
 
-def _pools(samples: int) -> tuple:
-    """(value for weight 1, r, 1/r, b, ln c), each (samples, POOL) float32."""
-    if samples not in _TABLES:
-        rng = np.random.default_rng(5)
-        r = rng.gamma(2.0, 1.0, (samples, POOL)) + 1e-9
-        c = np.log(rng.gamma(2.0, 1.0, (samples, POOL)) + 1e-300)
-        b = rng.random((samples, POOL))
-        _TABLES[samples] = tuple(x.astype(np.float32) for x in (c - r * (1 - b), r, 1 / r, b, c))
-    return _TABLES[samples]
+def _uniforms(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two uniform draws in (0, 1) from each 64-bit seed."""
+    bits = mix64(seeds)
+    return ((bits >> np.uint64(32)) + 0.5) / 2.0 ** 32, ((bits & np.uint64(0xFFFFFFFF)) + 0.5) / 2.0 ** 32
 
 
 def _ordered(values: np.ndarray) -> np.ndarray:
@@ -61,27 +56,31 @@ def _ordered(values: np.ndarray) -> np.ndarray:
 def weighted_samples(terms: np.ndarray, weights: np.ndarray, starts: np.ndarray,
                      samples: int = SAMPLES) -> np.ndarray:
     """(sets, samples) uint16; set i holds the terms from starts[i] on."""
-    plain, r, inv, b, c = _pools(samples)
     out = np.empty((len(starts), samples), np.uint16)
-    heavy = np.flatnonzero(weights > 1)
-    log_w = np.log(weights[heavy]).astype(np.float32)
-    h1 = terms.astype(np.uint32)
-    h2 = (terms >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    order = np.lexsort((weights, terms))
+    first = runs_of_pairs(terms[order], weights[order])
+    place = np.empty(len(terms), np.int64)
+    place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))
+    terms, log_w = terms[order][first], np.log(weights[order][first])
     name = mix64(terms) & np.uint64(0xFFFFFFFF)
     for k in range(samples):
-        at = (h1 + np.uint32(k) * h2) >> np.uint32(16)  # POOL = 2^16
-        key = _ordered(plain[k][at]) | name
-        if len(heavy):
-            a = at[heavy]
-            t = np.floor(log_w * inv[k][a] + b[k][a])
-            value = c[k][a] - r[k][a] * (t - b[k][a] + 1)
-            step = (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
-            key[heavy] = _ordered(value) | (name[heavy] ^ step)
-        least = np.minimum.reduceat(key, starts) & np.uint64(0xFFFFFFFF)
+        seeds = terms ^ mix64(np.array([SEED + 3 * k + i for i in range(3)], np.uint64))[:, None]
+        (u1, u2), (u3, u4), (b, _) = (_uniforms(x) for x in seeds)
+        r, c = -np.log(u1 * u2), -np.log(u3 * u4)
+        t = np.floor(log_w / r + b)
+        value = (np.log(c) - r * (t - b + 1)).astype(np.float32)
+        step = (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
+        key = _ordered(value) | (name ^ step)
+        least = np.minimum.reduceat(key[place], starts) & np.uint64(0xFFFFFFFF)
         out[:, k] = (mix64(least) >> np.uint64(48)).astype(np.uint16)
     return out
 
 
+def runs_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Starts of runs of equal neighbours in both of two arrays of one length."""
+    return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+
+
 def fingerprints(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
     """(texts, samples) uint16 signatures; zeros for a text without a term."""
     out = np.zeros((len(texts), samples), np.uint16)
@@ -94,7 +93,7 @@ def fingerprints(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
     words = word_hashes(data, starts, ends)
     order = np.lexsort((words, doc))
     words, doc = words[order], doc[order]
-    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])]))
+    first = runs_of_pairs(words, doc)
     weights = np.diff(np.append(first, len(words))).astype(np.float64)
     words, doc = words[first], doc[first]
     begin = runs(doc)
@@ -163,8 +162,8 @@ def _finish(pairs: list[tuple[tuple, tuple]], samples: int) -> pa.RecordBatch:
         after.append(len(texts) - 1)
         last = following
     edited = [edit(row[3], following[3]) for row, following in pairs]
-    prints = fingerprints([t.encode() for t in texts], samples)
-    changed = fingerprints([t.encode() for t in edited], samples)
+    prints = fingerprints([t.encode() for t in texts + edited], samples)
+    prints, changed = prints[:len(texts)], prints[len(texts):]
     mine = prints[own]
     return pa.RecordBatch.from_arrays([
         pa.array([row[2] for row, _ in pairs], pa.int64()),

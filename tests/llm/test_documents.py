@@ -258,6 +258,15 @@ def test_likeness_estimates_generalised_jaccard():
         assert abs(fingerprint.likeness(x, y) - low / high) < 0.05
 
 
+def test_likeness_of_many_distinct_words():
+    """200,000 words, half of them once in one text and four times in the other: likeness 0.4."""
+    n = 200_000
+    once, often = (" ".join(f"t{k}" for k in np.repeat(np.arange(n), np.where(np.arange(n) < n // 2, w, 1))).encode()
+                   for w in (1, 4))
+    a, b = fingerprint.fingerprints([once, often], 256)
+    assert abs(fingerprint.likeness(a, b) - 0.4) < 0.07
+
+
 def test_single_and_empty(spark, no_docs):
     one = spark.createDataFrame([(5, "ab cd")], "doc_id long, text string")
     r = fingerprint.fingerprint_documents(one).collect()[0]
