@@ -272,8 +272,9 @@ def pack(cut: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES,
     n = short.count()
     groups = max(1, -(-n // group_pieces))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    # Rows equal in every column may share a group: they are interchangeable.
-    grouped = short.select(*columns, F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"),
+    # The row's number in the written table spreads rows of null or repeated ids and equal text.
+    number = F.monotonically_increasing_id()
+    grouped = short.select(*columns, F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", number),
                                             F.lit(groups)).alias("grp"))
 
     def run(table: pa.Table) -> pa.Table:

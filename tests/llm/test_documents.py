@@ -177,6 +177,13 @@ def test_packing_a_table(spark, no_docs):
     assert packing.pack_documents(no_docs, tokenizer_path()).count() == 0
 
 
+def test_groups_of_null_ids_and_equal_texts_stay_small(spark):
+    docs = spark.range(0, 4000, 1, 4).selectExpr("IF(id % 2 = 0, NULL, 7L) AS doc_id", "'one two three' AS text")
+    rows = packing.pack_documents(docs, tokenizer_path(), length=128, group_pieces=100).collect()
+    check_packing(rows, [(None, "one two three"), (7, "one two three")] * 2000, 128)
+    assert max(Counter(r["sequence_id"] >> 31 for r in rows).values()) < 200
+
+
 def test_units_agree_with_the_tokenizer(monkeypatch):
     monkeypatch.setattr(packing, "KEPT_UNITS", 12)
     enc = packing.UnitEncoder(tokenizer_path())
