@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
@@ -179,7 +180,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class PrefixHash:
-    """Polynomial hashes of any range of a symbol sequence, modulo 2^64."""
+    """Polynomial hashes of any range of a symbol sequence, modulo 2^64.
+
+    For ranges of fixed, small length (grams, windows): sequences of 1024 and
+    more symbols that alternate like the Thue-Morse word collide in it."""
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
@@ -203,10 +207,61 @@ class PrefixHash:
         return (self.sums[size:] - self.sums[:n - size + 1]) * self.inverse[:n - size + 1]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's bytes."""
-    h = PrefixHash.of_bytes(data).ranges(starts, ends)
-    return mix64(h ^ mix64((ends - starts).astype(np.uint64)))
+# Words of up to this many bytes are hashed in 8-byte blocks, longer ones one by one.
+_BLOCK_WORD = 64
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every position on as a little-endian number, zeros
+    after the end (an unaligned view, no copy for each position)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each word's bytes; another ``seed``, an independent one.
+
+    Not a polynomial: those modulo 2^64 collide on Thue-Morse words whatever
+    the base. Blocks of eight bytes are mixed in one after another, each by a
+    bijection, so words of one length up to eight never collide; words over 64
+    bytes get a keyed BLAKE2.
+    """
+    size = ends - starts
+    h = mix64(size.astype(np.uint64) + np.uint64((0xA24BAED4963EE407 * (2 * seed + 1)) % (1 << 64)))
+    blocks = _blocks(data)
+    todo = np.flatnonzero((size > 0) & (size <= _BLOCK_WORD))
+    at = starts[todo]
+    left = size[todo]
+    while len(todo):
+        block = blocks[at] & _LOW_BYTES[np.minimum(left, 8)]
+        h[todo] = mix64((h[todo] ^ block) + np.uint64(0x9FB21C651E98DF25))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(size > _BLOCK_WORD).tolist():
+        word = data[starts[i]:ends[i]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=key).digest(), "little")
+    return h
+
+
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray,
+               other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each word has the bytes of its counterpart in ``other``."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    mine, theirs = _blocks(data), _blocks(other) if other is not data else None
+    theirs = mine if theirs is None else theirs
+    todo = np.flatnonzero(same & (size > 0) & (size <= _BLOCK_WORD))
+    a, b, left = starts[todo], other_starts[todo], size[todo]
+    while len(todo):
+        equal = ((mine[a] ^ theirs[b]) & _LOW_BYTES[np.minimum(left, 8)]) == 0
+        same[todo[~equal]] = False
+        more = equal & (left > 8)
+        todo, a, b, left = todo[more], a[more] + 8, b[more] + 8, left[more] - 8
+    for i in np.flatnonzero(same & (size > _BLOCK_WORD)).tolist():
+        same[i] = np.array_equal(data[starts[i]:ends[i]], other[other_starts[i]:other_ends[i]])
+    return same
 
 
 def runs(keys: np.ndarray) -> np.ndarray:

@@ -23,6 +23,7 @@ own (see :func:`~revlens.llm.common.keyed`).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from math import comb
 
@@ -47,14 +48,25 @@ _FACTOR = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2
 _SHIFT = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
 
+def word_digests(part: np.ndarray, offsets: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(2, docs) halves of a BLAKE2 of each document's words, joined by spaces."""
+    word = ALNUM[part]
+    keep = word.copy()
+    keep[ends[ends < len(part)]] = True   # one byte after each word stands for what parts it from the next
+    raw = np.where(word, part, np.uint8(0x20))[keep].tobytes()
+    cut = np.concatenate([[0], np.cumsum(keep)])[offsets].tolist()
+    made = b"".join(hashlib.blake2b(raw[a:b].strip(b" "), digest_size=16).digest() for a, b in zip(cut[:-1], cut[1:]))
+    return np.ascontiguousarray(np.frombuffer(made, np.uint64).reshape(-1, 2).T)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
-    """(word-sequence hashes (2, docs), shingle hashes sorted and distinct per
-    document, shingles before each document)."""
+    """(digests of the word sequences (2, docs), shingle hashes sorted and
+    distinct per document, shingles before each document)."""
     part = LOWER[data]
     starts, ends, cut = word_spans(part, offsets, ALNUM)
     words = word_hashes(part, starts, ends)
     n = np.diff(cut)
-    whole = np.stack([PrefixHash(words).ranges(cut[:-1], cut[1:]), PrefixHash(mix64(words)).ranges(cut[:-1], cut[1:])])
+    whole = word_digests(part, offsets, ends)
     count = np.where(n >= size, n - size + 1, (n > 0).astype(np.int64))
     begin = flat_ranges(cut[:-1], count)
     doc = np.repeat(np.arange(len(n)), count)

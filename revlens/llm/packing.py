@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (LOWER, NOT_SPACE, byte_column, col, doc_chunks, flat_ranges, runs, tidy,
-                                word_hashes, word_spans)
+from revlens.llm.common import (LOWER, NOT_SPACE, byte_column, col, doc_chunks, flat_ranges, runs,
+                                same_words, tidy, word_hashes, word_spans)
 from revlens.session import write_table
 
 LENGTH = 4096
@@ -37,6 +37,7 @@ END_ID = 2
 GROUP_PIECES = 1 << 15
 KEPT_UNITS = 3_000_000  # units of text whose ids a worker remembers, about 32 bytes each
 KEPT_IDS = 16_000_000   # and their ids
+KEPT_BYTES = 64 << 20   # and their bytes
 CHUNK_BYTES = 1 << 20
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
@@ -72,7 +73,9 @@ class UnitEncoder:
     where ASCII bytes and Latin letters alone decide that, else a whole word
     between white space, which is given to the tokenizer as it stands. Units
     are found and named by 64-bit hashes with numpy; each new one is asked of
-    the tokenizer once. Another kind of tokenizer is given whole texts.
+    the tokenizer once. Every occurrence is compared byte by byte with the
+    unit it is taken for; one that only shares the hash is asked on its own.
+    Another kind of tokenizer is given whole texts.
     """
 
     def __init__(self, path: str):
@@ -94,6 +97,7 @@ class UnitEncoder:
         self.place = np.zeros(0, np.int64)     # their numbers
         self.offset, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.raw, self.raw_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)   # bytes of the units
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -147,35 +151,52 @@ class UnitEncoder:
         ranked = names[order]
         first = runs(ranked)
         unique = ranked[first]
+        spot = order[first]      # an occurrence of every name
+        group = np.empty(len(names), np.int64)
+        group[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(names))))
         at = np.searchsorted(self.keys, unique)
         at[at == len(self.keys)] = 0
         known = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
-        number = np.empty(len(unique), np.int64)
+        number = np.full(len(unique), -1, np.int64)
         number[known] = self.place[at[known]]
-        new = np.flatnonzero(~known)
-        before = len(self.size), len(self.flat)
-        if len(new):
-            raw, spot = low.tobytes(), order[first[new]]
-            at = [np.concatenate([[0], np.cumsum(kind >= k)]) for k in (1, 2)]
-            kinds = sum((c[stop[spot]] > c[begin[spot]]).astype(int) for c in at)
+        alike = same_words(low, begin, stop, low, begin[spot][group], stop[spot][group])
+        mine = np.flatnonzero(known)
+        held = number[mine]
+        as_kept = same_words(low, begin[spot[mine]], stop[spot[mine]], self.raw, self.raw_at[held], self.raw_at[held + 1])
+        number[mine[~as_kept]] = -1
+        new = np.flatnonzero(number < 0)
+        before = len(self.size), len(self.flat), len(self.raw)
+        # units to ask: one of every new name, and occurrences that share a name with other bytes
+        clash = np.flatnonzero(~alike)
+        ask = np.concatenate([spot[new], clash])
+        if len(ask):
+            raw = low.tobytes()
+            seen = [np.concatenate([[0], np.cumsum(kind >= k)]) for k in (1, 2)]
+            kinds = sum((c[stop[ask]] > c[begin[ask]]).astype(int) for c in seen)
             asked = [self._ids(raw[a:b], k) for a, b, k in
-                     zip(begin[spot].tolist(), stop[spot].tolist(), kinds.tolist())]
+                     zip(begin[ask].tolist(), stop[ask].tolist(), kinds.tolist())]
             sizes = np.array([len(x) for x in asked], np.int64)
             number[new] = len(self.size) + np.arange(len(new))
             self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(sizes) - sizes])
             self.size = np.concatenate([self.size, sizes])
             self.flat = np.concatenate([self.flat, np.fromiter((i for x in asked for i in x), np.uint32, int(sizes.sum()))])
-        which = np.empty(len(names), np.int64)
-        which[order] = np.repeat(number, np.diff(np.append(first, len(names))))
+            width = stop[ask] - begin[ask]
+            self.raw = np.concatenate([self.raw, low[flat_ranges(begin[ask], width)]])
+            self.raw_at = np.concatenate([self.raw_at, self.raw_at[-1] + np.cumsum(width)])
+        which = number[group]
+        which[clash] = before[0] + len(new) + np.arange(len(clash))
         sizes = self.size[which]
         ids = self.flat[flat_ranges(self.offset[which], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[cut]
-        if len(self.size) > KEPT_UNITS or len(self.flat) > KEPT_IDS:  # frequent units are known by now
+        if (len(self.size) > KEPT_UNITS or len(self.flat) > KEPT_IDS  # frequent units are known by now
+                or len(self.raw) > KEPT_BYTES):
             self.offset, self.size, self.flat = self.offset[:before[0]], self.size[:before[0]], self.flat[:before[1]]
-        elif len(new):
-            where = np.searchsorted(self.keys, unique[new])
-            self.keys = np.insert(self.keys, where, unique[new])
-            self.place = np.insert(self.place, where, number[new])
+            self.raw, self.raw_at = self.raw[:before[2]], self.raw_at[:before[0] + 1]
+        else:
+            fresh = new[~known[new]]
+            where = np.searchsorted(self.keys, unique[fresh])
+            self.keys = np.insert(self.keys, where, unique[fresh])
+            self.place = np.insert(self.place, where, number[fresh])
         return ids, ends
 
 

@@ -6,8 +6,9 @@ hashes. Windows travel in runs that share an anchor (see
 its windows, so a window costs eight bytes of shuffle. Under its anchor each
 window hash is counted; a window that also starts in a document with a
 smaller key marks its words, and marked windows merge into maximal removal
-intervals. Anchor and window hash, 64 bits each, together name a window; the
-hash alone tells apart the many contexts of one common passage.
+intervals. Anchor and window hash, 64 bits each and made from independent
+hashes of the words, together name a window; the hash alone tells apart the
+many contexts of one common passage.
 
 Before the shuffle each task folds equal runs, so a passage that stands in
 many documents leaves it once. An anchor with more than ``HOT_WINDOWS``
@@ -73,11 +74,13 @@ def _window_rows(window: int):
             for lo, hi in doc_chunks(offsets):
                 part = data[offsets[lo]:offsets[hi]]
                 starts, ends, cut = word_spans(part, offsets[lo:hi + 1] - offsets[lo], NOT_SPACE)
-                prefix = PrefixHash(word_hashes(part, starts, ends))
-                first, n, anchor, doc = window_runs(mix64(prefix.windows(gram)), window, gram, cut)
+                grams = PrefixHash(word_hashes(part, starts, ends)).windows(gram)
+                first, n, anchor, doc = window_runs(mix64(grams), window, gram, cut)
                 if not len(first):
                     continue
-                every = mix64(prefix.windows(window))[flat_ranges(first, n)]
+                # the window's own hash comes from other word hashes than its anchor
+                second = PrefixHash(word_hashes(part, starts, ends, seed=1))
+                every = mix64(second.windows(window))[flat_ranges(first, n)]
                 packed = every.astype("<u8").tobytes()
                 ends_at = np.cumsum(n) * PACK
                 bodies += [packed[b - PACK * k:b] for b, k in zip(ends_at.tolist(), n.tolist())]
