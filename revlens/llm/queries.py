@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import (embed_dedup, fingerprint, langid, license_scan, mixing, ngram_join, packing, periodic_runs,
-                         sharding, substring_dedup, suffix_dedup)
+                         secret_scan, sharding, substring_dedup, suffix_dedup)
 from revlens.llm.common import load
 
 SHARDS = [f"shard-{i:03d}" for i in range(100)]
@@ -64,13 +64,17 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(load(spark, sf_dir, "documents"), stretch=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_shard_table, op2_license_scan, op3_language_id, op4_pack, op5_fingerprint,
                                    op6_embedding_dedup, op7_ngram_join, op8_suffix_dedup, op9_substring_dedup,
-                                   op10_curriculum_mix, op12_periodic_runs)}
+                                   op10_curriculum_mix, op11_secret_scan, op12_periodic_runs)}
 ORACLES: dict[str, str] = {}
 
 # -- oracles: what SQL can say ------------------------------------------------------
