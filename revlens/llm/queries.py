@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import (embed_dedup, fingerprint, langid, license_scan, mixing, ngram_join, packing, periodic_runs,
-                         secret_scan, sharding, substring_dedup, suffix_dedup)
+from revlens.llm import (conversation_trie, embed_dedup, fingerprint, langid, license_scan, mixing, ngram_join,
+                         packing, periodic_runs, secret_scan, sharding, substring_dedup, suffix_dedup)
 from revlens.llm.common import load
 
 SHARDS = [f"shard-{i:03d}" for i in range(100)]
@@ -72,9 +72,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(load(spark, sf_dir, "documents"), stretch=True)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_of(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_shard_table, op2_license_scan, op3_language_id, op4_pack, op5_fingerprint,
                                    op6_embedding_dedup, op7_ngram_join, op8_suffix_dedup, op9_substring_dedup,
-                                   op10_curriculum_mix, op11_secret_scan, op12_periodic_runs)}
+                                   op10_curriculum_mix, op11_secret_scan, op12_periodic_runs,
+                                   op13_conversation_trie)}
 ORACLES: dict[str, str] = {}
 
 # -- oracles: what SQL can say ------------------------------------------------------
@@ -128,3 +133,33 @@ ORACLES["op1_shard_table"] = (
     f"% {sharding.TABLE_SIZE} AS BIGINT) AS slot FROM documents), "
     f"t AS (SELECT {sharding.fill_table(SHARDS).tolist()} AS owner) "
     "SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0') AS shard FROM s, t")
+
+# CRC-32 bit by bit: a byte is xored in, then eight steps (-1) follow.
+ORACLES["op13_conversation_trie"] = r"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+           WHERE conv_id IS NOT NULL),
+m AS (SELECT c, turn, sha256(length(r) || ':' || r || x) AS name, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words FROM t),
+o AS (SELECT c, list(name ORDER BY turn NULLS FIRST, name) AS names, list(words ORDER BY turn NULLS FIRST, name) AS words
+      FROM m GROUP BY c),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+                  lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+      FROM o),
+b AS (SELECT h.c, list_concat(coalesce(f.names[1:h], []), h.names[h + 1:]) AS names,
+             list_concat(coalesce(f.words[1:h], []), h.words[h + 1:]) AS words
+      FROM h LEFT JOIN o AS f ON f.c = h.c - h.c % 20),
+p AS (SELECT c, len(names) AS n, names, words, unnest(range(len(names) + 1)) AS d FROM b),
+k AS (SELECT c, d, n = d AS last, sha256(array_to_string(names[1:d], ',')) AS node,
+             CASE WHEN d > 0 THEN sha256(array_to_string(names[1:d - 1], ',')) END AS up,
+             CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w FROM p),
+g AS (SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, min(up) AS up, min(w) AS w,
+             sha256(coalesce(string_agg(CASE WHEN last THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends
+      FROM k GROUP BY node, d),
+q AS (SELECT up AS node, d - 1 AS d, count(*) AS n FROM g WHERE d > 0 GROUP BY up, d),
+v AS (SELECT g.*, coalesce(q.n, 0) AS kids FROM g LEFT JOIN q ON q.node = g.node AND q.d = g.d),
+s AS (SELECT k.node, k.d, sum(CASE WHEN v.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((v.n_convs - 1) * v.w) AS saved
+      FROM v JOIN k ON k.c = v.conv_id AND k.d <= v.d GROUP BY k.node, k.d)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.n_convs, CAST(v.kids AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM v JOIN s ON s.node = v.node AND s.d = v.d LEFT JOIN g AS u ON u.node = v.up AND u.d = v.d - 1
+"""
