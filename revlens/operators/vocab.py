@@ -8,11 +8,12 @@ with ``minDocFreq = 0``; tf-idf is the raw count times IDF.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.indexing import row_index
 from revlens.operators.skew import SkewSpec, hot_keys, salted_join
+from revlens.session import write_table
 
 TERM = "term"
 TERM_INDEX = "term_index"
@@ -32,14 +33,20 @@ def term_frequency(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
             .groupBy(doc_col, TERM).agg(F.count(F.lit(1)).alias("tf")))
 
 
-def term_stats(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
-    """(term, tf, df): corpus count and document frequency per term."""
-    return (term_frequency(docs, doc_col, terms_col)
-            .groupBy(TERM).agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
+def term_table(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
+    """:func:`term_frequency`, written once: statistics, weights and vectors
+    read it, and the text is scanned and tokenised in this one pass."""
+    return write_table(term_frequency(docs, doc_col, terms_col), "terms")
+
 
+def table_stats(table: DataFrame) -> DataFrame:
+    """(term, tf, df) of a (doc, term, tf) table: corpus count and document frequency."""
+    return table.groupBy(TERM).agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
 
-# Terms that a model on the driver may hold (coefficients, vocabulary, IDF).
-MODEL_TERMS_MAX = 8_000_000
+
+def term_stats(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
+    """(term, tf, df): corpus count and document frequency per term."""
+    return table_stats(term_frequency(docs, doc_col, terms_col))
 
 
 def vocabulary(stats: DataFrame, cap: int | None = None, min_df: int = 1) -> DataFrame:
@@ -55,84 +62,25 @@ def vocabulary(stats: DataFrame, cap: int | None = None, min_df: int = 1) -> Dat
     return indexed.select(TERM, TERM_INDEX, "tf", "df")
 
 
-def idf(stats: DataFrame, n_docs) -> DataFrame:
-    """(term, idf) with ``ln((N + 1) / (df + 1))``; ``n_docs`` a Column or int."""
+def idf(stats: DataFrame, n_docs, *also: Column) -> DataFrame:
+    """(term, *also, idf) with ``ln((N + 1) / (df + 1))``; ``n_docs`` a Column or int."""
     n = n_docs if not isinstance(n_docs, int) else F.lit(n_docs)
-    return stats.select(TERM, F.log((n + 1) / (F.col("df") + 1)).alias("idf"))
+    return stats.select(TERM, *also, F.log((n + 1) / (F.col("df") + 1)).alias("idf"))
 
 
-def tfidf(docs: DataFrame, doc_col: str, terms_col: str, vocab: DataFrame,
-          n_docs=None, skew: SkewSpec = SkewSpec()) -> DataFrame:
-    """(doc, term, tf, tfidf) over vocabulary terms.
+def tfidf(table: DataFrame, doc_col: str, n_docs, stats: DataFrame | None = None,
+          skew: SkewSpec = SkewSpec()) -> DataFrame:
+    """(doc, term, tf, tfidf) of a (doc, term, tf) table.
 
-    IDF comes from the vocabulary's own document frequencies, i.e. from the
-    documents the vocabulary was built on; ``n_docs`` is their number (a
-    Column or int; default: the rows of ``docs``). The vocabulary grows with
-    the corpus, so both sides are shuffled by term; terms of very many
-    documents (their ``df`` says how many rows they have) are salted.
+    Document frequencies come from ``stats`` (default: the table's own), built
+    on ``n_docs`` documents (a Column or int); terms without any are left out.
+    Both sides grow with the corpus and are shuffled by term; terms of very
+    many documents (their ``df`` says how many rows they have) are salted. No
+    position of a term is needed, so nothing is sorted.
     """
-    if n_docs is None:
-        n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    weights = idf(vocab, n_docs)
-    tf = term_frequency(docs, doc_col, terms_col)
-    hot = hot_keys(vocab, TERM, "df", skew)
-    joined = tf.join(weights, TERM, "inner") if hot.isEmpty() else salted_join(tf, weights, TERM, hot)
+    if stats is None:
+        stats = write_table(table_stats(table), "term-stats")
+    weights = idf(stats, n_docs)
+    hot = hot_keys(stats, TERM, "df", skew)
+    joined = table.join(weights, TERM, "inner") if hot.isEmpty() else salted_join(table, weights, TERM, hot)
     return joined.select(doc_col, TERM, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
-
-
-def count_vectorizer(terms: list[str], input_col: str, output_col: str):
-    """``CountVectorizerModel`` for an ordered vocabulary.
-
-    Same model as ``CountVectorizerModel.from_vocabulary``, but the terms
-    cross to the JVM as one newline-joined string split there: the stock
-    helper copies the list one element per Py4J call, minutes for 2^18
-    terms. Terms never hold a newline (tokens are ``\\w`` runs and n-grams
-    join them with spaces).
-    """
-    from pyspark import SparkContext
-    from pyspark.ml.feature import CountVectorizerModel
-
-    if any("\n" in t for t in terms):
-        return CountVectorizerModel.from_vocabulary(terms, inputCol=input_col,
-                                                    outputCol=output_col)
-    jvm = SparkContext._active_spark_context._jvm
-    jterms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms), -1) \
-        if terms else jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.String, 0)
-    jmodel = jvm.org.apache.spark.ml.feature.CountVectorizerModel(jterms)
-    model = CountVectorizerModel(jmodel)
-    model.setInputCol(input_col)
-    model.setOutputCol(output_col)
-    model._set(vocabSize=max(len(terms), 1))
-    return model
-
-
-def vocabulary_model(vocab: DataFrame, n_docs: int, input_col: str, tf_col: str,
-                     output_col: str):
-    """(CountVectorizerModel, IDF scaler, terms) from a vocabulary frame.
-
-    The IDF weights ``ln((N + 1) / (df + 1))`` come from the vocabulary's own
-    document frequencies (computed on the same documents), so no extra pass
-    over the corpus is needed; ``ElementwiseProduct`` applies them exactly as
-    ``IDFModel.transform`` would. The terms are fetched as Arrow; more than
-    ``MODEL_TERMS_MAX`` are an error, never a cut (choose ``min_df`` or a cap).
-    """
-    import math
-
-    from pyspark.ml.feature import ElementwiseProduct
-    from pyspark.ml.linalg import Vectors
-
-    n_terms = vocab.count()
-    if n_terms > MODEL_TERMS_MAX:
-        raise ValueError(f"{n_terms} terms are more than a model on the driver holds "
-                         f"({MODEL_TERMS_MAX}): set min_df or vocab_cap")
-    table = vocab.select(TERM_INDEX, TERM, "df").toArrow()
-    rows = sorted(zip(table.column(TERM_INDEX).to_pylist(), table.column(TERM).to_pylist(),
-                      table.column("df").to_pylist()))
-    if not rows:
-        raise ValueError(f"empty vocabulary: the fitted documents hold no {input_col}")
-    terms = [t for _, t, _ in rows]
-    weights = [math.log((n_docs + 1.0) / (df + 1.0)) for _, _, df in rows]
-    cv = count_vectorizer(terms, input_col, tf_col)
-    scaler = ElementwiseProduct(scalingVec=Vectors.dense(weights),
-                                inputCol=tf_col, outputCol=output_col)
-    return cv, scaler, terms

@@ -13,20 +13,19 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N, SPLIT_SEED,
                                      TOKEN_PATTERN)
 from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
+from revlens.operators.features import coefficient_rows, sparse_features
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import (TERM, TERM_INDEX, term_stats, vocabulary,
-                                     vocabulary_model)
+from revlens.operators.vocab import TERM, TERM_INDEX, table_stats, term_table, vocabulary
 
 
 @dataclass
 class KeyNgrams:
-    docs: DataFrame        # input + words, ngrams, <output_col>
+    docs: DataFrame        # input + words, <output_col>
     extremes: DataFrame    # side, position, term, weight
     keys: list[str]
     vocabulary: DataFrame  # term, term_index, tf, df
@@ -41,17 +40,8 @@ class KeyNgrams:
 
 
 def coefficient_frame(spark, model: LinearSVCModel, vocab: DataFrame) -> DataFrame:
-    """(term, term_index, weight): the SVM weight of every vocabulary term.
-
-    The coefficient vector lives on the driver (it is the model, bounded by
-    MODEL_TERMS_MAX); it enters Spark as one array row and is exploded.
-    """
-    coeffs = [float(x) for x in model.coefficients.toArray()]
-    arr = spark.createDataFrame([(coeffs,)], "w array<double>")
-    exploded = arr.select(F.posexplode("w").alias(TERM_INDEX, "weight"))
-    return (vocab.select(TERM, TERM_INDEX)
-            .join(exploded.withColumn(TERM_INDEX, F.col(TERM_INDEX).cast("long")),
-                  TERM_INDEX))
+    """(term, term_index, weight): the SVM weight of every vocabulary term."""
+    return vocab.select(TERM, TERM_INDEX).join(coefficient_rows(spark, model.coefficients), TERM_INDEX)
 
 
 def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
@@ -66,22 +56,22 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     job did); by default only the training side is used.
     """
     spark = docs.sparkSession
-    # Tokenise once: statistics, IDF, the SVM and gluing all reuse the token
-    # arrays. Persisted, not written: the lineage (scan -> regex) is
-    # deterministic, so a lost executor simply recomputes its part.
-    tokens = (docs.withColumn("words", tokenize(text_col, pattern))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    words = tokens.withColumn("ngrams", ngrams("words", n))
-    train, _ = hash_split(words, [0.8, 0.2], seed, [doc_col])
-    fit_docs = words if fit_on_all else train
-    # kept, as the coefficients are joined back to it
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "ngrams"), vocab_cap, min_df).persist()
-    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "ngrams", "tf", "tf_idf")
-    feats = idf.transform(cv.transform(train)).select("tf_idf", label_col)
+    # Tokenise once: the term table and gluing reuse the token arrays.
+    # Persisted, not written: the lineage (scan -> regex) is deterministic, so
+    # a lost executor simply recomputes its part.
+    words = (docs.withColumn("words", tokenize(text_col, pattern))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    grams = words.select(doc_col, ngrams("words", n).alias("ngrams"))
+    table = term_table(grams, doc_col, "ngrams")
+    train, fit_table = (hash_split(df, [0.8, 0.2], seed, [doc_col])[0] for df in (words, table))
+    # kept, as the vectors and the coefficients are joined to it
+    vocab = vocabulary(table_stats(table if fit_on_all else fit_table), vocab_cap, min_df).persist()
+    n_fit = (words if fit_on_all else train).count()
+    feats = sparse_features(train.select(doc_col, label_col), fit_table, vocab, n_fit, doc_col, "tf_idf")
     svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",
                     labelCol=label_col).fit(feats)
     weights = coefficient_frame(spark, svc, vocab)
     extremes = key_extremes(weights, per_side)
     keys = key_list(extremes)
     glued = words.withColumn(output_col, glue_list(join_words("words"), keys))
-    return KeyNgrams(glued, extremes, keys, vocab, weights, svc, (tokens, vocab))
+    return KeyNgrams(glued, extremes, keys, vocab, weights, svc, (words, vocab))

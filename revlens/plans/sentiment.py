@@ -24,8 +24,9 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      POSITIVE_MIN_STARS, SPLIT_SEED, SVM_REG_GRID,
                                      TOKEN_PATTERN)
 from revlens.functions.text import remove_stopwords, tokenize
+from revlens.operators.features import sparse_features
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import term_stats, vocabulary, vocabulary_model
+from revlens.operators.vocab import table_stats, term_table, vocabulary
 from revlens.plans.keyphrase import KeyNgrams, key_ngrams
 
 DROPPED = ("cool", "funny", "useful", "date", "stars")
@@ -78,18 +79,15 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     kn = key_ngrams(labelled, n=n, seed=seed, per_side=per_side, max_iter=key_max_iter,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
                     pattern=pattern, vocab_cap=vocab_cap, min_df=min_df, fit_on_all=fit_on_all)
-    docs = (kn.docs.select(doc_col, "label", remove_stopwords(tokenize("ngram_text", pattern)).alias("kept"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    train, test = hash_split(docs, [0.8, 0.2], seed, [doc_col])
-    fit_docs = docs if fit_on_all else train
-    vocab = vocabulary(term_stats(fit_docs, doc_col, "kept"), vocab_cap, min_df).persist()
-    cv, idf, _ = vocabulary_model(vocab, fit_docs.count(), "kept", "counts", "features")
-
-    def features(df: DataFrame) -> DataFrame:
-        return idf.transform(cv.transform(df)).select(doc_col, "label", "features")
-
-    train_f = features(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test_f = features(test)
+    kept = kn.docs.select(doc_col, remove_stopwords(tokenize("ngram_text", pattern)).alias("kept"))
+    table = term_table(kept, doc_col, "kept")   # the one pass over the glued text
+    docs = kn.docs.select(doc_col, "label")
+    train, fit_table = (hash_split(df, [0.8, 0.2], seed, [doc_col])[0] for df in (docs, table))
+    vocab = vocabulary(table_stats(table if fit_on_all else fit_table), vocab_cap, min_df).persist()
+    n_fit = (docs if fit_on_all else train).count()
+    features = sparse_features(docs, table, vocab, n_fit, doc_col)
+    train_f, test_f = hash_split(features, [0.8, 0.2], seed, [doc_col])
+    train_f = train_f.persist(StorageLevel.MEMORY_AND_DISK)
     svc = LinearSVC(maxIter=max_iter, labelCol="label")
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
                                               labelCol="label", numBins=num_bins)
@@ -113,4 +111,4 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
                       vector_to_array("rawPrediction")[1].alias("margin")))
     auroc = evaluator.evaluate(scored)
     return SentimentResult(scored, auroc, best_reg, list(zip(regs, metrics)), n_validation, kn,
-                           model, features(docs), (docs, vocab))
+                           model, features, (vocab,))

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import glue_list, join_words, ngrams, remove_stopwords, tokenize
 from revlens.operators.extremes import key_extremes
-from revlens.operators.vocab import (TERM, term_frequency, term_stats, tfidf,
-                                     vocabulary)
+from revlens.operators.vocab import TERM, term_frequency, term_stats, term_table, tfidf, vocabulary
 from revlens.queries.sql import DOCS as TEXT, bigram_list, filtered_list
 from revlens.sources import tables
 
@@ -73,25 +72,26 @@ def term_vocabulary(spark, sf):
 
 
 def vocabulary_size(spark, sf):
-    return ngram_vocabulary(spark, sf).agg(F.count(F.lit(1)).alias("n_terms"))
+    return (term_frequency(_bigram_docs(spark, sf), "doc_id", "grams").select(TERM).distinct()
+            .agg(F.count(F.lit(1)).alias("n_terms")))
 
 
 def term_frequency_q(spark, sf):
     return term_frequency(_filtered_docs(spark, sf), "doc_id", "kept")
 
 
-def tfidf_bigram(spark, sf):
-    docs = _bigram_docs(spark, sf)
-    vocab = vocabulary(term_stats(docs, "doc_id", "grams"))
-    out = tfidf(docs, "doc_id", "grams", vocab)
+def _tfidf(docs, terms_col):
+    table = term_table(docs, "doc_id", terms_col)
+    out = tfidf(table, "doc_id", docs.agg(F.count(F.lit(1))).scalar())
     return out.select("doc_id", TERM, "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
+def tfidf_bigram(spark, sf):
+    return _tfidf(_bigram_docs(spark, sf), "grams")
+
+
 def tfidf_filtered(spark, sf):
-    docs = _filtered_docs(spark, sf)
-    vocab = vocabulary(term_stats(docs, "doc_id", "kept"))
-    out = tfidf(docs, "doc_id", "kept", vocab)
-    return out.select("doc_id", TERM, "tf", F.round("tfidf", 6).alias("tfidf"))
+    return _tfidf(_filtered_docs(spark, sf), "kept")
 
 
 def key_extremes_q(spark, sf):

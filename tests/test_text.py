@@ -1,6 +1,5 @@
 import math
 
-import pytest
 
 from pyspark.ml.feature import IDF, NGram, RegexTokenizer, StopWordsRemover, CountVectorizer
 from pyspark.sql import functions as F
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 from revlens.functions.fixed import STOP_WORDS_ENGLISH, TOKEN_PATTERN
 from revlens.functions.text import (glue_list, join_fields, join_words, ngrams,
                                     remove_stopwords, tokenize)
-from revlens.operators.vocab import term_stats, tfidf, vocabulary
+from revlens.operators.vocab import term_frequency, term_stats, tfidf, vocabulary
 
 T1 = "They're i don't a_b it's x'y'z ''q éa naïve"
 
@@ -44,7 +43,7 @@ def test_t3_idf_matches_formula_and_spark_idf(spark):
                                  "doc_id long, w array<string>")
     vocab = vocabulary(term_stats(docs, "doc_id", "w"))
     rows = {(r["doc_id"], r["term"]): r["tfidf"] for r in
-            tfidf(docs, "doc_id", "w", vocab).collect()}
+            tfidf(term_frequency(docs, "doc_id", "w"), "doc_id", docs.count(), vocab).collect()}
     assert math.isclose(rows[(1, "a")], 2 * math.log(4 / 2))
     assert rows[(1, "b")] == 0.0 and rows[(3, "b")] == 0.0
     assert math.isclose(rows[(2, "c")], math.log(2))
@@ -95,29 +94,3 @@ def test_join_fields_writes_none(spark):
     got = df.select(join_fields("a", "b", "c", "d").alias("s")).first()["s"]
     assert got == "Cafe, None, 123, X"
     assert df.select(join_words(F.array(F.lit("a"), F.lit("b"))).alias("s")).first()["s"] == "a b"
-
-
-def test_count_vectorizer_equals_from_vocabulary(spark):
-    from pyspark.ml.feature import CountVectorizerModel
-    from revlens.operators.vocab import count_vectorizer
-    terms = ["b a", "a", "c d", "e"]
-    df = spark.createDataFrame([(["a", "c d", "a", "zz"],), ([],)], "w array<string>")
-    ours = count_vectorizer(terms, "w", "v")
-    ref = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="v")
-    assert ours.vocabulary == terms
-    assert [r["v"] for r in ours.transform(df).collect()] == [r["v"] for r in ref.transform(df).collect()]
-
-
-def test_vocabulary_model_equals_spark_idf(spark):
-    from pyspark.ml.feature import CountVectorizerModel
-    from revlens.operators.vocab import vocabulary_model
-    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, ["b"]), (4, [])],
-                                 "doc_id long, w array<string>")
-    vocab = vocabulary(term_stats(docs, "doc_id", "w"))
-    cv, scaler, terms = vocabulary_model(vocab, docs.count(), "w", "tf", "x")
-    ours = scaler.transform(cv.transform(docs)).orderBy("doc_id").collect()
-    ref_cv = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="tf")
-    ref = IDF(inputCol="tf", outputCol="x").fit(ref_cv.transform(docs))
-    theirs = ref.transform(ref_cv.transform(docs)).orderBy("doc_id").collect()
-    for a, b in zip(ours, theirs):
-        assert a["x"].toArray().tolist() == pytest.approx(b["x"].toArray().tolist(), abs=1e-12)

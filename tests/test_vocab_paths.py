@@ -3,8 +3,14 @@
 import random
 
 import pytest
+from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
+from revlens.functions.text import ngrams, tokenize
+from revlens.operators import features
 from revlens.operators import vocab as V
+from revlens.operators.features import sparse_features
 from revlens.operators.skew import SkewSpec
 
 
@@ -26,15 +32,63 @@ def test_cap_is_a_prefix_of_the_whole(spark):
 
 
 def test_tfidf_with_salted_terms(spark):
-    docs = _docs(spark)
-    vocab = V.vocabulary(V.term_stats(docs, "doc_id", "w"))
-    plain = V.tfidf(docs, "doc_id", "w", vocab)
-    salted = V.tfidf(docs, "doc_id", "w", vocab, skew=SkewSpec(min_rows=5, rows_per_salt=2))
+    table = V.term_table(_docs(spark), "doc_id", "w")
+    plain = V.tfidf(table, "doc_id", 80)
+    salted = V.tfidf(table, "doc_id", 80, skew=SkewSpec(min_rows=5, rows_per_salt=2))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
 
 
-def test_too_many_terms_for_a_model_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(V, "MODEL_TERMS_MAX", 10)
-    vocab = V.vocabulary(V.term_stats(_docs(spark), "doc_id", "w"))
+@pytest.mark.parametrize("skew", [SkewSpec(), SkewSpec(min_rows=5, rows_per_salt=2)])
+@pytest.mark.parametrize("cap", [None, 7])
+def test_vectors_equal_count_vectorizer_and_idf(spark, skew, cap):
+    docs = _docs(spark).unionByName(spark.createDataFrame([(900, []), (901, None)], "doc_id long, w array<string>"))
+    table = V.term_table(docs, "doc_id", "w")
+    vocab = V.vocabulary(V.table_stats(table), cap)
+    ours = sparse_features(docs.select("doc_id"), table, vocab, docs.count(), "doc_id", "x", skew)
+    terms = [r["term"] for r in vocab.orderBy("term_index").collect()]
+    whole = docs.withColumn("w", F.coalesce("w", F.array()))
+    counted = CountVectorizerModel.from_vocabulary(terms, inputCol="w", outputCol="tf").transform(whole)
+    theirs = IDF(inputCol="tf", outputCol="x").fit(counted).transform(counted)
+    got = {r["doc_id"]: r["x"] for r in ours.collect()}
+    for r in theirs.select("doc_id", "x").collect():
+        assert got[r["doc_id"]].size == len(terms)
+        assert got[r["doc_id"]].toArray().tolist() == pytest.approx(r["x"].toArray().tolist(), abs=1e-12)
+    assert len(got) == 82
+
+
+def test_vectors_refuse_what_does_not_fit(spark, monkeypatch):
+    table = V.term_table(_docs(spark), "doc_id", "w")
+    vocab = V.vocabulary(V.table_stats(table))
+    monkeypatch.setattr(features, "FEATURES_MAX", 10)
     with pytest.raises(ValueError, match="vocab_cap"):
-        V.vocabulary_model(vocab, 80, "w", "tf", "x")
+        sparse_features(_docs(spark).select("doc_id"), table, vocab, 80, "doc_id")
+    with pytest.raises(ValueError, match="empty vocabulary"):
+        sparse_features(_docs(spark).select("doc_id"), table, vocab.limit(0), 80, "doc_id")
+
+
+def test_coefficients_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(features, "COEFFICIENT_BLOCK", 7)
+    values = [0.5 * i for i in range(30)]
+    got = features.coefficient_rows(spark, Vectors.dense(values)).orderBy("term_index").collect()
+    assert [(r["term_index"], r["weight"]) for r in got] == list(enumerate(values))
+
+
+def test_text_is_evaluated_once_by_tfidf_and_vectors(spark):
+    """Counted over all jobs: the text comes from a function that counts its calls."""
+    for job in ("tfidf", "vectors"):
+        calls = spark.sparkContext.accumulator(0)
+
+        def text(i, calls=calls):
+            calls.add(1)
+            return f"a b c{i % 7} d{i}"
+
+        docs = (spark.range(40).repartition(4).withColumn("t", F.udf(text)("id"))
+                .select(F.col("id").alias("doc_id"), ngrams(tokenize("t"), 2).alias("g")))
+        table = V.term_table(docs, "doc_id", "g")
+        if job == "tfidf":
+            out = V.tfidf(table, "doc_id", docs.agg(F.count(F.lit(1))).scalar())
+            assert out.count() == 120
+        else:
+            out = sparse_features(docs.select("doc_id"), table, V.vocabulary(V.table_stats(table)), 40, "doc_id")
+        out.collect()
+        assert calls.value == 40
