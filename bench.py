@@ -50,7 +50,7 @@ def main() -> None:
     from revlens.plans.keyphrase import key_ngrams
     from revlens.plans.recommend import als_estimator, fit, prepare, recommend
     from revlens.plans.sentiment import label_reviews, sentiment
-    from revlens.plans.subset import write_subset
+    from revlens.plans.subset import subset_ratings_joined, write_sample
     from revlens.plans.tune import als_grid_search
     from revlens.queries import text as tq
     from revlens.session import scratch_path
@@ -113,8 +113,9 @@ def main() -> None:
 
     def q_subset():
         out = scratch_path(spark, "bench-subset")
-        write_subset(tables.reviews(spark, sf_dir, with_order=True), tables.catalog(spark, sf_dir),
-                     f"{out}/ratings", f"{out}/businesses", 10_000, tables.REVIEW_ORDER)
+        items, orders = tables.review_parts(spark, sf_dir)
+        sample = subset_ratings_joined(items, orders, "l_orderkey", 10_000, tables.REVIEW_ORDER, tables.as_reviews)
+        write_sample(sample, tables.catalog(spark, sf_dir), f"{out}/ratings", f"{out}/businesses")
 
     suite = {
         "prepare_ids": q_prepare,

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import join_fields, like_literal
+from revlens.operators.joins import small_side
+from revlens.operators.patterns import like_join
 
 ITEM = "business_id_numeric"
 DESCRIBED = ("name", "address", "postal_code", "city")
@@ -26,41 +28,32 @@ def match_items(catalog: DataFrame, favourite: str, literal: bool = False,
     return catalog.where(F.lower(F.col(name_col)).like(name_pattern(favourite, literal)))
 
 
-# Patterns with a wildcard elsewhere than at the end, which need a nested loop.
-MAX_WILD_PATTERNS = 10_000
-
-
 def match_personas(personas: DataFrame, catalog: DataFrame,
                    pattern_col: str = "pattern", name_col: str = "name") -> DataFrame:
     """All (persona, item) pairs with ``lower(name) LIKE lower(pattern)``.
 
     A pattern without ``%``, ``_`` or ``\\`` is an equi join on the lowered
     name; one whose only wildcard is a final ``%`` an equi join on prefixes of
-    the pattern lengths that occur. Only other patterns are compared with
-    every name: they are counted, broadcast, and refused beyond
-    ``MAX_WILD_PATTERNS``. Output: persona columns then catalog columns.
+    the pattern lengths that occur; others go through the gram index of
+    :mod:`revlens.operators.patterns`. No number of patterns is too many, and
+    nothing is a nested loop. Output: persona columns then catalog columns.
     """
     pattern = F.lower(F.col(pattern_col))
     lowered = catalog.withColumn("_rl_name", F.lower(F.col(name_col)))
     exact = personas.where(~pattern.rlike(r"[%_\\]"))
     by_name = (exact.withColumn("_rl_key", pattern)
                .join(lowered, F.col("_rl_key") == F.col("_rl_name"), "inner").drop("_rl_key", "_rl_name"))
+    # cut from the lowered pattern, whose length may differ
     prefix = (personas.where(pattern.rlike(r"^[^%_\\]+%$"))
-              .withColumn("_rl_key", F.expr(f"left(lower(`{pattern_col}`), length(`{pattern_col}`) - 1)")))
-    sizes = [r[0] for r in prefix.select(F.length("_rl_key")).distinct().collect()]  # at most a name's length
+              .withColumn("_rl_key", F.substring(pattern, F.lit(1), F.length(pattern) - 1)))
+    sizes = [r[0] for r in prefix.select(F.length("_rl_key")).distinct().collect()]  # at most a pattern's length
     starts = F.array_distinct(F.transform(F.lit(sorted(sizes)) if sizes else F.array().cast("array<int>"),
                                           lambda n: F.when(n <= F.length("_rl_name"), F.substring(F.col("_rl_name"), F.lit(1), n))))
     by_prefix = (prefix.join(lowered.withColumn("_rl_start", F.explode(starts)),
                              F.col("_rl_key") == F.col("_rl_start"), "inner").drop("_rl_key", "_rl_name", "_rl_start"))
     found = by_name.unionByName(by_prefix)
     wild = personas.where(pattern.rlike(r"[%_\\]") & ~pattern.rlike(r"^[^%_\\]+%$"))
-    n = wild.limit(MAX_WILD_PATTERNS + 1).count()
-    if n > MAX_WILD_PATTERNS:
-        raise ValueError(f"more than {MAX_WILD_PATTERNS} patterns with inner wildcards")
-    if n == 0:
-        return found
-    cond = F.like(F.lower(catalog[name_col]), F.lower(wild[pattern_col]))
-    return found.unionByName(F.broadcast(wild).join(catalog, cond, "inner"))
+    return found if wild.isEmpty() else found.unionByName(like_join(wild, catalog, pattern_col, name_col))
 
 
 def unmatched_personas(personas: DataFrame, catalog: DataFrame,
@@ -90,12 +83,12 @@ def describe(catalog: DataFrame, drop: tuple[str, ...] = ("business_id", ITEM),
     return catalog.withColumn(out_col, join_fields(*fields))
 
 
-def report(top: DataFrame, catalog: DataFrame, item_col: str = ITEM) -> DataFrame:
+def report(top: DataFrame, catalog: DataFrame, item_col: str = ITEM, rows: int | None = None) -> DataFrame:
     """(position, item, prediction, description) for ranked ids.
 
     The rank travels through the join, so positions follow the prediction
-    order. ``top`` is bounded by n and broadcast.
+    order. ``rows`` bounds ``top``; it is broadcast only if that is small.
     """
     described = describe(catalog).select(item_col, "description")
-    return (F.broadcast(top).join(described, item_col, "inner")
+    return (small_side(top, rows).join(described, item_col, "inner")
             .select(F.col("rank").alias("position"), item_col, "prediction", "description"))

@@ -14,13 +14,15 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.functions.fixed import ALS_SEED
-from revlens.operators.catalog import match_items, report, require_match
+from revlens.functions.fixed import ALS_SEED, PERSONA_RATING
+from revlens.operators.catalog import describe, match_items, match_personas, report, require_match
 from revlens.operators.ids import (dense_ids, encode, hot_ids, key_frequencies,
                                    number_keys)
 from revlens.operators.persona import (ITEM, RATING, USER, candidates,
                                        persona_ratings, with_persona)
+from revlens.operators.joins import small_side
 from revlens.operators.skew import SkewSpec
+from revlens.operators.topk import top_items
 from revlens.session import checkpoint_dir, write_table
 
 ALS_BLOCKS = 10
@@ -33,6 +35,7 @@ class Prepared:
     ratings: DataFrame   # user_id_numeric, business_id_numeric, rating
     user_ids: DataFrame  # user_id, n_rows, user_id_numeric
     item_ids: DataFrame  # business_id, business_id_numeric
+    reviews: DataFrame   # user_id, business_id, stars: the review view, written once
 
 
 def prepare_catalog(business: DataFrame, on_missing: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -57,9 +60,10 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     the ALS fit read them instead of re-running both lookup joins.
     """
     catalog, item_ids = prepare_catalog(business, on_missing)
-    freq = key_frequencies(reviews, ["user_id", "business_id"])
+    # The view may be a join: it runs once, and frequencies and both lookups read its rows.
+    facts = write_table(reviews.select("user_id", "business_id", "stars"), "reviews")
+    freq = key_frequencies(facts, ["user_id", "business_id"])
     user_ids = number_keys(freq["user_id"], "user_id", USER)
-    facts = reviews.select("user_id", "business_id", "stars")
     hot_u = hot_i = None
     if skew is not None:
         # Salt only when some key is hot: the check reads the pinned
@@ -73,7 +77,7 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
     ratings = enc.select(USER, ITEM, F.col("stars").cast("double").alias(RATING))
     if materialize:
         ratings = write_table(ratings, "ratings")
-    return Prepared(catalog, ratings, user_ids, item_ids)
+    return Prepared(catalog, ratings, user_ids, item_ids, facts)
 
 
 def als_estimator(rank: int = 30, max_iter: int = 50, reg_param: float = 0.3,
@@ -154,10 +158,58 @@ def recommend(prep: Prepared, favourite: str, n: int = 10, rank: int = 30,
     model = fit(als_estimator(rank, max_iter, reg_param, seed, num_blocks), training)
     cands = candidates(prep.ratings, favourites, uid)
     best = top_n(score_user(model, uid, cands), n)
-    return Recommendation(best, report(best, prep.catalog), model, uid,
+    return Recommendation(best, report(best, prep.catalog, rows=n), model, uid,
                           favourites, cands, training)
 
 
+@dataclass
+class Recommendations:
+    top: DataFrame          # persona, rank, business_id_numeric, prediction
+    report: DataFrame       # persona, position, business_id_numeric, prediction, description
+    model: ALSModel
+    users: DataFrame        # persona, user_id_numeric
+    favourites: DataFrame   # persona, user_id_numeric, business_id_numeric
+    items: DataFrame        # business_id_numeric: the rated items, all candidates but a persona's favourites
+    training: DataFrame     # ratings plus all personas' rows
+
+
+def recommend_personas(prep: Prepared, personas: DataFrame, n: int = 10, rank: int = 30, max_iter: int = 50,
+                       reg_param: float = 0.3, seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS) -> Recommendations:
+    """Top-n items for every row of ``personas`` (persona, pattern) in one fit.
+
+    Each persona that matches anything is a new user who rated its matches
+    5.0; a persona may have several patterns. Users are numbered in persona
+    order above the real ones. The personas' ratings enter one training set,
+    so they also move the factors of the items they name. Personas that match
+    nothing get no rows (see ``unmatched_personas``); none matching at all is
+    a ``KeyError``. Scoring is by blocks of users and items
+    (:mod:`revlens.operators.topk`).
+    """
+    matches = match_personas(personas.select("persona", "pattern"), prep.catalog)
+    matches = write_table(matches.select("persona", ITEM).distinct(), "favourites")
+    if matches.isEmpty():
+        raise KeyError("no catalog name matches any persona")
+    base = persona_id_of(prep.ratings)
+    numbered = number_keys(matches.select("persona").distinct(), "persona", "_rl_k")
+    users = write_table(numbered.select("persona", (F.col("_rl_k") + F.lit(base)).cast("int").alias(USER)), "personas")
+    favourites = write_table(matches.join(users, "persona").select("persona", USER, F.col(ITEM).cast("int").alias(ITEM)),
+                             "favourites")
+    rows = favourites.select(USER, ITEM, F.lit(float(PERSONA_RATING)).alias(RATING))
+    training = with_persona(prep.ratings, rows)
+    model = fit(als_estimator(rank, max_iter, reg_param, seed, num_blocks), training)
+    items = prep.ratings.select(ITEM).distinct()
+    rated = write_table(model.itemFactors.join(items.select(F.col(ITEM).alias("id")), "id", "left_semi"), "item-factors")
+    asked = write_table(model.userFactors.join(users.select(F.col(USER).alias("id")), "id", "left_semi"), "user-factors")
+    excluded = favourites.select(F.col(USER).alias("user"), F.col(ITEM).alias("item"))
+    best = top_items(asked, rated, excluded, n).join(users.withColumnRenamed(USER, "user"), "user")
+    top = write_table(best.select("persona", "rank", F.col("item").alias(ITEM),
+                                  F.col("score").cast("float").alias("prediction")), "best")
+    described = describe(prep.catalog).select(ITEM, "description")
+    told = small_side(top, top.count()).join(described, ITEM).select(
+        "persona", F.col("rank").alias("position"), ITEM, "prediction", "description")
+    return Recommendations(top, told, model, users, favourites, items, training)
+
+
 def _dot(left, right):
     return F.aggregate(F.zip_with(left, right, lambda a, b: a * b),
                        F.lit(0.0).cast("double"), lambda acc, x: acc + x)

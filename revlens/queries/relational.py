@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 
 from revlens.operators.catalog import (describe, items_in_set, match_items,
                                        match_personas, unmatched_personas)
-from revlens.operators.ids import encode, orphans
+from revlens.operators.ids import encode, key_counts, number_keys, orphans
 from revlens.operators.metrics import auroc, rmse
 from revlens.operators.persona import (ITEM, USER, candidates, persona_ratings,
                                        with_persona)
 from revlens.operators.sampling import label_split
 from revlens.plans.recommend import Prepared, prepare, prepare_catalog, top_n_per_group
 from revlens.plans.sentiment import label_reviews
-from revlens.plans.subset import subset_items, subset_ratings, write_subset
+from revlens.plans.subset import subset_items, subset_ratings_joined, write_sample
 from revlens.queries.sql import BASE, TEXT, bucket
 from revlens.session import scratch_path
 from revlens.sources import tables
-from revlens.sources.jsonio import read_json, write_json
+from revlens.sources.jsonio import read_json, scan_json, write_json
 from revlens.sources.schemas import BUSINESS_SCHEMA
 
 FAVOURITE = "red plate"
@@ -51,8 +51,21 @@ def json_roundtrip(spark, sf):
 
 def _subset_written(spark, sf):
     out = scratch_path(spark, "debug-subset")
-    return write_subset(tables.reviews(spark, sf, with_order=True), tables.catalog(spark, sf),
-                        f"{out}/ratings", f"{out}/businesses", SUBSET_N, tables.REVIEW_ORDER)
+    return write_sample(debug_subset_ratings(spark, sf), tables.catalog(spark, sf), f"{out}/ratings", f"{out}/businesses")
+
+
+def json_quarantine(spark, sf):
+    """Catalog rows as JSON lines, every third one cut short, read back without
+    a schema: the whole lines by their inferred columns, the others as they stand."""
+    path = scratch_path(spark, "json-lines")
+    part = tables.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.to_json(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                                                           F.col("p_size").alias("size"))).alias("line"))
+    cut = F.when(F.pmod("id", F.lit(3)) == 0, F.substring("line", F.lit(1), F.length("line") - 1)).otherwise(F.col("line"))
+    part.select(cut.alias("value")).write.text(path)
+    read = scan_json(spark, path)
+    return (read.rows.select("id", "name", "size", F.lit(None).cast("string").alias("line"))
+            .unionByName(read.bad.select("line"), allowMissingColumns=True))
 
 
 def debug_subset_written(spark, sf):
@@ -66,7 +79,8 @@ def debug_subset_businesses(spark, sf):
 # -- ids, projections, lookup joins ------------------------------------------
 
 def user_ids(spark, sf):
-    return _prep(spark, sf).user_ids.select("user_id", USER)
+    keys = key_counts(tables.reviews(spark, sf), "user_id").select("user_id")
+    return number_keys(keys, "user_id", USER)
 
 
 def item_ids(spark, sf):
@@ -83,14 +97,12 @@ def ratings_projection(spark, sf):
 
 def encode_ratings(spark, sf):
     p = _prep(spark, sf)
-    r = tables.reviews(spark, sf)
-    r = encode(r, p.user_ids, "user_id", USER)
-    return encode(r, p.item_ids, "business_id", ITEM)
+    return encode(encode(p.reviews, p.user_ids, "user_id", USER), p.item_ids, "business_id", ITEM)
 
 
 def orphan_ratings(spark, sf):
     p = _prep(spark, sf)
-    r = tables.reviews(spark, sf)
+    r = p.reviews
     by_item = orphans(r, p.item_ids, "business_id")
     by_user = r.where(F.col("user_id").isNull())
     return by_item.unionByName(by_user).distinct()
@@ -103,7 +115,8 @@ def orphan_documents(spark, sf):
 
 
 def drop_columns(spark, sf):
-    return _catalog(spark, sf).drop("business_id", ITEM)
+    # the numeric id isn't there yet: absent names are ignored
+    return tables.catalog(spark, sf).drop("business_id", ITEM)
 
 
 def describe_items(spark, sf):
@@ -199,8 +212,8 @@ def split_two_way(spark, sf):
 
 
 def debug_subset_ratings(spark, sf):
-    return subset_ratings(tables.reviews(spark, sf, with_order=True), SUBSET_N,
-                          tables.REVIEW_ORDER)
+    items, orders = tables.review_parts(spark, sf)
+    return subset_ratings_joined(items, orders, "l_orderkey", SUBSET_N, tables.REVIEW_ORDER, tables.as_reviews)
 
 
 def debug_subset_items(spark, sf):
@@ -243,6 +256,12 @@ _SUBSET = ("SELECT user_id, business_id, stars FROM ("
 
 SQL = {
     "json_roundtrip": BASE + "SELECT * FROM catalog_raw",
+    "json_quarantine": (
+        "SELECT CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_partkey AS BIGINT) END AS id, "
+        "CASE WHEN p_partkey % 3 <> 0 THEN p_name END AS name, "
+        "CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_size AS BIGINT) END AS size, "
+        "CASE WHEN p_partkey % 3 = 0 THEN '{\"id\":' || p_partkey || ',\"name\":\"' || p_name || '\",\"size\":' || p_size "
+        "END AS line FROM part"),
     "debug_subset_written": _SUBSET,
     "user_ids": BASE + "SELECT user_id, user_id_numeric FROM user_ids",
     "item_ids": BASE + "SELECT business_id, business_id_numeric FROM item_ids",
@@ -327,6 +346,7 @@ SQL = {
 
 QUERIES = {
     "json_roundtrip": (json_roundtrip, SQL["json_roundtrip"]),
+    "json_quarantine": (json_quarantine, SQL["json_quarantine"]),
     "debug_subset_written": (debug_subset_written, SQL["debug_subset_written"]),
     "user_ids": (user_ids, SQL["user_ids"]),
     "item_ids": (item_ids, SQL["item_ids"]),

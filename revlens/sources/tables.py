@@ -28,9 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """(user_id, business_id, stars) [+ the line-item order columns]."""
+    items, orders = review_parts(spark, sf_dir)
+    return as_reviews(items.join(orders, "l_orderkey"), with_order)
+
+
+def review_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(line items, orders): the two sides of the review view, joined on l_orderkey."""
     items = table(spark, sf_dir, "lineitem").select(*REVIEW_ORDER)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return items, orders
+
+
+def as_reviews(joined: DataFrame, with_order: bool = False) -> DataFrame:
+    """The review columns of joined line items and orders."""
     cols = [
         F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("user_id"),
         F.concat(F.lit("B"), F.col("l_partkey").cast("string")).alias("business_id"),
