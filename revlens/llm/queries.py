@@ -61,7 +61,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(mixing.sized_documents(load(spark, sf_dir, "documents")))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
+    return mixing.training_places(plan).select("doc_id", "size", "source_size", "target", "taken", "copies", "position",
+                                               "positions", "places")
 
 
 def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,13 +119,17 @@ p AS (SELECT d.doc_id, d.size, t.n, t.target, t.a, t.b, CAST(floor(t.target) AS
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id NULLS LAST, d.size
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-q AS (SELECT *, [greatest(0, least(size, whole - (before + e * n))) FOR e IN [0, 1, 2]] AS parts,
-             before / target AS share FROM p)
+q AS (SELECT *, [greatest(0, least(size, whole - (before + e * n))) FOR e IN [0, 1, 2]] AS parts FROM p),
+v AS (SELECT *, [CASE WHEN parts[e + 1] > 0 THEN least(greatest(CASE WHEN a = b THEN (before + e * n) / target ELSE
+                   (sqrt(greatest(a * a + 2 * (b - a) * ((before + e * n) / target * (a + b) / 2), 0.0)) - a) / (b - a) END,
+                   0.0), 1.0) + 0.0 END FOR e IN [0, 1, 2]] AS spots, row_number() OVER () AS r FROM q),
+u AS (SELECT r, doc_id, size, e, spots[e + 1] AS spot FROM v, range(3) t(e) WHERE parts[e + 1] > 0),
+ord AS (SELECT r, e, spot, row_number() OVER (ORDER BY spot, doc_id NULLS LAST, e, size) - 1 AS place FROM u),
+lists AS (SELECT r, list(spot ORDER BY e) AS positions, list(place ORDER BY e) AS places FROM ord GROUP BY r)
 SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target, CAST(list_sum(parts) AS BIGINT) AS taken,
-       CAST(len([x FOR x IN parts IF x > 0]) AS BIGINT) AS copies,
-       CASE WHEN parts[1] > 0 THEN least(greatest(CASE WHEN a = b THEN share ELSE
-         (sqrt(greatest(a * a + 2 * (b - a) * (share * (a + b) / 2), 0.0)) - a) / (b - a) END, 0.0), 1.0) + 0.0 END AS position
-FROM q
+       CAST(len([x FOR x IN parts IF x > 0]) AS BIGINT) AS copies, spots[1] AS position,
+       coalesce(positions, []::DOUBLE[]) AS positions, coalesce(places, []::BIGINT[]) AS places
+FROM v LEFT JOIN lists USING (r)
 """
 
 # The table is filled here; the SQL hashes and looks up.

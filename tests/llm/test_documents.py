@@ -320,7 +320,17 @@ def test_mix(docs, odd_docs, odd):
     assert all(taken[s] == int(want[s] + 1e-9) for s in order)
     made = mixing.curriculum(plan).collect()
     assert sum(r["words"] for r in made) == sum(taken.values())
+    made.sort(key=lambda r: r["place"])
+    assert [r["place"] for r in made] == list(range(len(made)))
     assert [r["position"] for r in made] == sorted(r["position"] for r in made)
+    placed = mixing.training_places(plan).collect()
+    assert sorted(x for r in placed for x in r["places"]) == list(range(len(made)))
+    by_row = defaultdict(list)
+    for r in sorted(made, key=lambda r: r["copy"]):
+        by_row[r["row"]].append((r["position"], r["place"]))
+    for r in placed:
+        assert list(zip(r["positions"], r["places"])) == by_row[r["row"]] and r["copies"] == len(r["places"])
+        assert r["position"] == (r["positions"][0] if r["positions"] else None)
     assert all(0 <= r["position"] <= 1 for r in made)
     again = mixing.plan_mix(mixing.sized_documents((odd_docs if odd else docs).repartition(5))).collect()
     pick = lambda rs: Counter((r["doc_id"], r["size"], r["taken"], r["position"]) for r in rs)
@@ -338,5 +348,20 @@ def test_ramp_shifts_a_source(spark):
             assert abs(a * t + (b - a) * t * t / 2 - s * (a + b) / 2) < 1e-9
 
 
+@pytest.mark.parametrize("bound", [0, 1 << 20])
+def test_many_sources_against_plain_targets(spark, monkeypatch, bound):
+    """5000 sources, one with a third of the words, some empty; joined by a shuffle or broadcast."""
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", bound)
+    rng = np.random.default_rng(6)
+    words = {f"s{i:04d}": int(n) for i, n in enumerate(rng.integers(0, 9, 5000))} | {"s0007": 9000}
+    rows = [(i, s, " ".join(["w"] * n)) for i, (s, n) in enumerate(words.items())]
+    plan = mixing.plan_mix(mixing.sized_documents(spark.createDataFrame(rows, "doc_id long, source string, text string")))
+    want = brute_targets(words, {s: 1 + i % 3 for i, s in enumerate(sorted(words))})
+    got = {r["source"]: r for r in plan.collect()}
+    assert set(got) == set(words)
+    for s, r in got.items():
+        assert abs(r["target"] - want[s]) < 1e-6 * max(1, want[s]) and r["taken"] == int(want[s] + 1e-9)
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.plan_mix(mixing.sized_documents(no_docs)).count() == 0
