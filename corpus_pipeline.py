@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from revlens.llm import langid, mixing, ngram_join, packing, substring_dedup
 from revlens.llm.common import col, fresh, join_measured, keyed, load
 from revlens.llm.queries import tokenizer_path
-from revlens.operators.indexing import row_index
 from revlens.session import write_table
 
 # Rows of an Arrow batch: whole texts are long, and Spark's 10,000 of them a
@@ -81,8 +80,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
     rows, key, _ = keyed(docs, "doc_id", "text")
     plan = mixing.plan_mix(mixing.sized_documents(rows, key))
-    made = mixing.copies(plan).select("doc_id", "copy", "words", "size", "position")
-    order = write_table(row_index(made, ["position", "doc_id", "copy"], "place"), "order")
+    order = write_table(mixing.curriculum(plan).select("doc_id", "words", "size", "place"), "order")
     n = order.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place, words, size = (fresh(rows, c) for c in ("place", "words", "size"))
