@@ -5,7 +5,8 @@ index (gram hash -> template, position) of a fixed set of license texts and
 phrases; the index is broadcast, its size does not depend on the data. A hit
 at word ``p`` of the text and ``t`` of the template votes for the diagonal
 ``p - t``. Neighbouring diagonals (a few words inserted or missing) are
-merged, and the merged span is verified word by word against the template.
+merged, farther ones too where words were put in or left out inside, and the
+merged span is verified word by word against the template and returned.
 
 The rows of a document (a header with its text, then its grams) leave one
 task in order and pass a broadcast join, which is narrow, so votes are
@@ -35,8 +36,61 @@ WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 # The phrases of the contract and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Well-known passages of license texts, by label.
+# Well-known license texts, notices and lines, by label.
 TEMPLATES = {
+    "mit-whole": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+                 "associated documentation files the software to deal in the software without restriction including "
+                 "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+                 "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+                 "the following conditions the above copyright notice and this permission notice shall be included in "
+                 "all copies or substantial portions of the software the software is provided as is without warranty "
+                 "of any kind express or implied including but not limited to the warranties of merchantability fitness "
+                 "for a particular purpose and noninfringement in no event shall the authors or copyright holders be "
+                 "liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+                 "arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-whole": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+                 "hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+                 "the software is provided as is and the author disclaims all warranties with regard to this software "
+                 "including all implied warranties of merchantability and fitness in no event shall the author be liable "
+                 "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss "
+                 "of use data or profits whether in an action of contract negligence or other tortious action arising out "
+                 "of or in connection with the use or performance of this software",
+    "bsd-2-whole": "redistribution and use in source and binary forms with or without modification are permitted provided "
+                   "that the following conditions are met 1 redistributions of source code must retain the above copyright "
+                   "notice this list of conditions and the following disclaimer 2 redistributions in binary form must "
+                   "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+                   "documentation and or other materials provided with the distribution this software is provided by the "
+                   "copyright holders and contributors as is and any express or implied warranties including but not "
+                   "limited to the implied warranties of merchantability and fitness for a particular purpose are "
+                   "disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect "
+                   "incidental special exemplary or consequential damages including but not limited to procurement of "
+                   "substitute goods or services loss of use data or profits or business interruption however caused and "
+                   "on any theory of liability whether in contract strict liability or tort including negligence or "
+                   "otherwise arising in any way out of the use of this software even if advised of the possibility of "
+                   "such damage",
+    "apache-notice": "licensed under the apache license version 2 0 the license you may not use this file except in "
+                     "compliance with the license you may obtain a copy of the license at http www apache org licenses "
+                     "license 2 0 unless required by applicable law or agreed to in writing software distributed under "
+                     "the license is distributed on an as is basis without warranties or conditions of any kind either "
+                     "express or implied see the license for the specific language governing permissions and limitations "
+                     "under the license",
+    "gpl-whole-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                        "general public license as published by the free software foundation either version 3 of the "
+                        "license or at your option any later version this program is distributed in the hope that it will "
+                        "be useful but without any warranty without even the implied warranty of merchantability or "
+                        "fitness for a particular purpose see the gnu general public license for more details you should "
+                        "have received a copy of the gnu general public license along with this program",
+    "zlib-whole": "this software is provided as is without any express or implied warranty in no event will the authors be "
+                  "held liable for any damages arising from the use of this software permission is granted to anyone to "
+                  "use this software for any purpose including commercial applications and to alter it and redistribute "
+                  "it freely subject to the following restrictions 1 the origin of this software must not be "
+                  "misrepresented you must not claim that you wrote the original software if you use this software in a "
+                  "product an acknowledgment in the product documentation would be appreciated but is not required 2 "
+                  "altered source versions must be plainly marked as such and must not be misrepresented as being the "
+                  "original software 3 this notice may not be removed or altered from any source distribution",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+                 "publish use compile sell or distribute this software either in source code form or as a compiled binary "
+                 "for any purpose commercial or non commercial and by any means",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software "
                 "and associated documentation files the software to deal in the software without restriction "
                 "including without limitation the rights to use copy modify merge publish distribute "
@@ -58,11 +112,12 @@ TEMPLATES = {
 
 PHRASE_GRAM = 2   # words of a gram for the phrases
 TEXT_GRAM = 4     # words of a gram for the passages
-NEIGHBOUR = 3     # diagonals up to so far apart are one
+NEIGHBOUR = 3     # diagonals up to so far apart are one ...
+GAP_PART = 4      # ... or up to this part of the passage: words may be put in or left out inside
 MIN_COVER = 0.8   # part of a passage's words that must be verified
 
 OUT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
-       "labels string, score double")
+       "labels string, score double, spans string")
 HEADER = 0        # the gram value of a document's header row
 
 
@@ -123,12 +178,16 @@ def emit_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq += len(ids)
 
 
-def _judge(text: bytes, hits: dict[int, list[tuple[int, int]]]) -> tuple[list[int], set[str], set[str], float]:
-    """(places of phrases, base labels, labels, score) of a document with hits."""
+Span = tuple[int, int, str]
+
+
+def _judge(text: bytes, hits: dict[int, list[tuple[int, int]]]) -> tuple[list[int], set[str], set[str], float, list[Span]]:
+    """(places of phrases, base labels, labels, score, spans of words) of a document with hits."""
     words = WORD.findall(text.lower())
     places: list[int] = []
     base: set[str] = set()
     labels: set[str] = set()
+    spans: list[Span] = []
     score = 0.0
     for tmpl, found in hits.items():
         label, want, size, phrase = templates_()[tmpl]
@@ -140,21 +199,31 @@ def _judge(text: bytes, hits: dict[int, list[tuple[int, int]]]) -> tuple[list[in
                 if d >= 0 and len(set(ts)) == len(want) - size + 1 and words[d:d + len(want)] == want:
                     places.append(d)
                     base.add(label)
+                    spans.append((d, d + len(want), label))
             continue
+        apart = max(NEIGHBOUR, len(want) // GAP_PART)
         diagonals = sorted(votes)
         group = [diagonals[0]]
         for d in diagonals[1:] + [None]:
-            if d is not None and d - group[-1] <= NEIGHBOUR:
+            if d is not None and d - group[-1] <= apart:
                 group.append(d)
                 continue
-            agreed = {t for g in group for t in range(len(want))
-                      if 0 <= t + g < len(words) and words[t + g] == want[t]}
+            # on each diagonal, the words between its first and its last vote that agree;
+            # the passage's beginning and end are looked for on the outermost ones
+            head, tail = min(group, key=lambda g: min(votes[g])), max(group, key=lambda g: max(votes[g]))
+            agreed: dict[int, int] = {}
+            for g in group:
+                lo, hi = min(votes[g]), max(votes[g]) + size
+                for t in range(0 if g == head else lo, len(want) if g == tail else hi):
+                    if 0 <= t + g < len(words) and words[t + g] == want[t]:
+                        agreed.setdefault(t, t + g)
             cover = len(agreed) / len(want)
             if cover >= MIN_COVER:
                 labels.add(label)
                 score = max(score, cover)
+                spans.append((min(agreed.values()), max(agreed.values()) + 1, label))
             group = [d]
-    return places, base, labels | base, 1.0 if places else score
+    return places, base, labels | base, 1.0 if places else score, sorted(spans)
 
 
 _TEMPLATES: list = []
@@ -169,16 +238,16 @@ def templates_() -> list:
 def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per header from a document's header and hit rows."""
     names = [f.split()[0] for f in OUT.split(", ")]
-    kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
+    kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64(), pa.string()]
     now, last = None, -1
 
     def close(doc) -> tuple:
         _, doc_id, text, n, hits = doc
         if not hits:
-            return doc_id, n, 0, None, None, "", "", 0.0
-        places, base, labels, score = _judge(text or b"", hits)
+            return doc_id, n, 0, None, None, "", "", 0.0, ""
+        places, base, labels, score, spans = _judge(text or b"", hits)
         return (doc_id, n, len(places), min(places, default=None), max(places, default=None),
-                ",".join(sorted(base)), ",".join(sorted(labels)), score)
+                ",".join(sorted(base)), ",".join(sorted(labels)), score, ",".join(f"{x}:{a}:{b}" for a, b, x in spans))
 
     for batch in batches:
         rows = []

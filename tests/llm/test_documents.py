@@ -84,16 +84,58 @@ def test_license_on_a_table(spark):
 def test_license_passages(spark, no_docs):
     text = license_scan.TEMPLATES["mit-text"].split()
     whole, holes = " ".join(text), " ".join(text[:20] + ["inserted", "words"] + text[20:30] + text[31:])
+    gap = " ".join(text[:22] + ["z"] * 10 + text[22:])
+    far = " ".join(text[:22] + ["z"] * 40 + text[22:])
     half = " ".join(text[:15])
     df = spark.createDataFrame([(1, f"Intro. {whole.upper()}, end"), (2, f"a b {holes}"), (3, half),
-                                (4, "x " * 200_000 + whole)], "doc_id long, text string")
+                                (4, "x " * 700_000 + whole), (5, f"q {gap} q"), (6, far)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    n = len(text)
     assert got[1]["labels"] == "mit-text" and got[1]["score"] == 1.0 and got[1]["n_base"] == 0
-    assert got[2]["labels"] == "mit-text" and 0.9 < got[2]["score"] < 1.0
-    assert got[3]["labels"] == "" and got[4]["labels"] == "mit-text"
+    assert got[1]["spans"] == f"mit-text:1:{1 + n}"
+    assert got[2]["labels"] == "mit-text" and 0.9 < got[2]["score"] < 1.0 and got[2]["spans"] == f"mit-text:2:{n + 3}"
+    assert got[3]["labels"] == got[3]["spans"] == ""
+    assert got[4]["labels"] == "mit-text" and got[4]["spans"] == f"mit-text:700000:{700_000 + n}"
+    assert got[5]["score"] == 1.0 and got[5]["spans"] == f"mit-text:1:{1 + n + 10}"
+    assert got[6]["labels"] == ""
     assert license_scan.scan(no_docs).count() == 0
 
 
+def plain_license(text):
+    """Labels and best cover by trying every template on every diagonal, no grams, no votes."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    found = {}
+    for label, passage in license_scan.TEMPLATES.items():
+        want = passage.split()
+        for d in range(-len(want) + 1, len(words)):
+            same = sum(0 <= t + d < len(words) and words[t + d] == w for t, w in enumerate(want))
+            if same >= license_scan.MIN_COVER * len(want):
+                found[label] = max(found.get(label, 0), same / len(want))
+    return found
+
+
+def test_license_labels_and_scores_against_every_diagonal(spark):
+    rng = np.random.default_rng(7)
+    texts = []
+    for label, passage in license_scan.TEMPLATES.items():
+        words = passage.split()
+        texts += [passage, f"before {passage.title()} after", " ".join(words[:len(words) * 7 // 10])]
+        changed = list(words)
+        changed[int(rng.integers(5, len(words) - 2)) if len(words) > 8 else 0] = "zzz"
+        texts += [" ".join(changed), " ".join(reversed(words))]
+    texts += [" ".join(rng.choice("the a of to license software".split(), 60))for _ in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in license_scan.scan(docs).collect():
+        want = plain_license(texts[r["doc_id"]])
+        labels = {x for x in r["labels"].split(",") if x and x in license_scan.TEMPLATES}
+        assert labels == set(want), texts[r["doc_id"]]
+        if not r["n_base"]:
+            assert abs(r["score"] - max(want.values(), default=0)) < 1e-9
+        for span in filter(None, r["spans"].split(",")):
+            label, a, b = span.split(":")
+            assert 0 <= int(a) < int(b) <= r["n_words"] and label in r["labels"].split(",")
+
+
 # -- language id --------------------------------------------------------------------
 
 def test_langid_held_out_accuracy(spark):
@@ -106,6 +148,38 @@ def test_langid_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_features(text):
+    """Hashed n-grams of a text, with the operator's own features one text at a time."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    f, _ = langid.features(data, np.array([0, len(data)]), langid.BUCKETS)
+    return f.ravel().tolist()
+
+
+def test_langid_predictions_against_plain_naive_bayes(spark):
+    """Counts, priors, sums of logarithms and posteriors in plain Python over all rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()]
+    train = [r for r in rows if r[1] is not None and r[2] is not None and zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    counts, docs_of = defaultdict(Counter), Counter(r[2] for r in train)
+    for _, text, lang in train:
+        counts[lang].update(plain_features(text))
+    total = {k: sum(c.values()) + langid.SMOOTHING * langid.BUCKETS for k, c in counts.items()}
+    langs, matrix = langid.fit_open_fold(docs)
+    got = {r["doc_id"]: r for r in langid.predict(docs, langs, matrix).collect()}
+    for i, text, _ in rows:
+        own = plain_features(text or "")
+        if not own:
+            assert got[i]["lang_pred"] == "und"
+            continue
+        score = {k: np.log(docs_of[k] / len(train)) + sum(np.log((counts[k][f] + langid.SMOOTHING) / total[k]) for f in own)
+                 for k in docs_of}
+        best = max(score, key=score.get)
+        second = sorted(score.values())[-2]
+        post = 1 / sum(np.exp(v - score[best]) for v in score.values())
+        assert got[i]["lang_pred"] == best or score[best] - second < 1e-2
+        assert abs(got[i]["score"] - post) < 1e-3 * max(1, len(own) / 500)
+
+
 def test_langid_counts_against_plain_python(spark):
     texts = [(1, "Ab c", "x"), (3, "ÉÉ", "y"), (4, "", "x"), (5, None, "x"), (6, "z", None), (None, "q", "x")]
     langs, matrix = langid.fit(spark.createDataFrame(texts, "doc_id long, text string, lang string"), buckets=1 << 10)
