@@ -17,7 +17,8 @@ never the pairs themselves. Components come from distributed star rounds.
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and rows with a null label, have no links and are components of
 their own; a null id is kept as null with no links; rows that repeat a vec_id
-get the same result each; vectors of different lengths are never compared.
+get the same result each; vectors of different lengths are never compared;
+other columns are ignored whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ crosses the shuffle once and no global window is needed.
 Defined results: null text counts as empty; texts without a term have a
 fingerprint of zeros (likeness 1 with each other, 0 with others); null ids
 come last in descending order; rows with equal ids stand in the order of
-their texts; a lone document is its own next.
+their texts; a lone document is its own next; other columns are ignored
+whatever their names; a text of any length is one task's; an empty table gives
+no rows.
 """
 
 from __future__ import annotations

@@ -21,7 +21,10 @@ Defined results: null text, empty text and text without a letter give
 ``und`` with score 0; rows with a null language are never learned from; a
 null id is never held out and never learned from; repeated rows are predicted
 one by one; ties go to the language that sorts first; with no training row
-every document is ``und``.
+every document is ``und``; an empty table gives no rows; predictions are added
+under names no column has, all columns are kept; a text of any length is scored
+whole by one task. More than ``MAX_LANGUAGES`` languages are an error, as the
+broadcast matrix would have no bound.
 """
 
 from __future__ import annotations

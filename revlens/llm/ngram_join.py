@@ -18,7 +18,9 @@ forest of what it found; classes are the components of all forests.
 
 Defined results: null and empty texts and texts without a word have no links
 and are classes of their own; null ids and repeated rows are texts of their
-own (see :func:`~revlens.llm.common.keyed`).
+own (see :func:`~revlens.llm.common.keyed`); other columns are ignored whatever
+their names; a text of any length is one task's shingle set; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ worker and kept in a bounded table (see :class:`UnitEncoder`).
 
 Defined results: null and empty texts hold the end id alone; a null id is
 kept as null; repeated rows are pieces of their own; ties in length are
-broken by id and start; empty tables give no rows.
+broken by id and start; other columns are ignored whatever their names; a text
+of any length is tokenised whole by one task; empty tables give no rows.
 """
 
 from __future__ import annotations

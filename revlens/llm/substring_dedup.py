@@ -18,7 +18,9 @@ grouped minimum and a join by window, which have no hot key.
 Defined results: null and empty texts have no words; a null id and rows that
 repeat an id are documents of their own in the order of
 :func:`~revlens.llm.common.keyed`; a document without repeats keeps its text
-byte for byte; empty tables give no rows.
+byte for byte; other columns are kept as they are, or ignored, whatever their
+names; a text of any length is cut into windows whole by one task, its windows
+spread by their anchors; empty tables give no rows.
 """
 
 from __future__ import annotations
