@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, flat_ranges, mix64, runs, tidy,
+from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, mix64, runs, tidy,
                                 word_hashes, word_spans)
 
 LEAST = 12               # words of the shortest run
