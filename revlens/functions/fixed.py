@@ -9,7 +9,7 @@ FIXED VALUES -- do not edit:
   (``StopWordsRemover.loadDefaultStopWords("english")``), 181 words, in
   Spark's order. Kept as text so SQL oracles can use the same list.
 * Defaults of the jobs: ALS seed 42, key n-gram size 2, 50 extremes per
-  side, vocabulary cap 2^18, split seed 42, SVM regParam grid.
+  side, split seed 42, SVM regParam grid.
 """
 
 TOKEN_PATTERN = r"(?!(?<='))\w+"

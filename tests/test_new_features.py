@@ -1,6 +1,5 @@
 """Gram index, many personas, first n under a lookup, quarantine, counts within a time."""
 
-import itertools
 import random
 
 import numpy as np
