@@ -7,7 +7,9 @@ its nearest cell. Whether x can have a partner y in another cell follows from
 geometry: if x.y >= s, then y lies in cell c' and not in x's cell c only if
 x.(c - c') <= (sqrt(1 - s^2) / s) |(c' - c) without its part along x|. So x
 visits exactly the cells that pass this bound, and no link is lost. Clustered
-vectors visit few cells; vectors without clusters visit many.
+vectors visit few cells; vectors without clusters visit many. A cell that
+still holds more than ``SPLIT_ROWS`` vectors is divided once more in the same
+way, by centroids that are never broadcast.
 
 A cell is worked off in blocks: each pair of (visiting block, resident block)
 is one matrix product in one task, which returns the number of links per
@@ -27,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (col, components, mix64, tidy)
+from revlens.llm.common import byte_column, col, components, flat_ranges, mix64, tidy
 from revlens.session import write_table
 
 THRESHOLD = 0.93
@@ -38,23 +41,51 @@ CELL_ROWS = 4096        # different vectors a cell holds on average
 BLOCK_ROWS = 4096       # rows of a block of a cell
 FIT_ROWS = 20_000       # different vectors the k-means is fitted on, over all labels
 MAX_CELLS = 4096        # centroids over all labels: the broadcast bound
+SPLIT_ROWS = 1 << 16    # residents beyond which a cell gets cells of its own
+INNER_CELLS = 256       # at most this many
+INNER_FIT = 20_000      # residents they are fitted on
 ROUNDS = 8
 SLICE = 512
+PLACED = ["label", "cell", "home", "rep", "mult", "vec"]
+PLACED_TYPES = "label string, cell int, home boolean, rep long, mult long, vec binary"
+
+
+def unit_vectors(array: pa.Array) -> pa.Array:
+    """Bytes of each list's unit vector in double precision; null if it has none."""
+    size = pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.fill_null(array.flatten().cast(pa.float64()), np.nan).to_numpy(zero_copy_only=False)
+    start = np.cumsum(size) - size
+    usable = np.zeros(len(size), bool)
+    found = []
+    for length in np.unique(size[size > 0]).tolist():  # nearly always one length
+        rows = np.flatnonzero(size == length)
+        x = flat[flat_ranges(start[rows], size[rows])].reshape(-1, length)
+        top = np.abs(x).max(1)
+        has = np.isfinite(x).all(1) & (top > 0)
+        x = x[has] / top[has, None]  # so that squares can't over- or underflow
+        usable[rows[has]] = True
+        found.append((rows[has], x / np.sqrt((x * x).sum(1))[:, None] + 0.0))
+    size = np.where(usable, size, 0)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    body = np.empty(offsets[-1], np.float64)
+    for rows, x in found:
+        body[flat_ranges(offsets[rows], size[rows])] = x.ravel()
+    raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [
+        pa.array(usable).buffers()[1], pa.py_buffer((offsets * 8).astype(np.int64)), pa.py_buffer(body)])
+    return raw.cast(pa.binary())
+
+
+def matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of vectors of one length."""
+    raw, _ = byte_column(vectors)
+    return np.frombuffer(raw.tobytes()).reshape(len(vectors), -1)
 
 
 def normalised(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """(id, label, vec): ``vec`` the unit vector's bytes, null if it has none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for v in batch.column(2).to_pylist():
-                x = None
-                if v and None not in v:
-                    x = np.array(v, np.float64)
-                    top = np.abs(x).max() if np.isfinite(x).all() else 0.0
-                    x = x / top if top > 0 else None  # so that squares can't over- or underflow
-                out.append(None if x is None else (x / np.sqrt(x @ x) + 0.0).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), unit_vectors(batch.column(2))],
                                              ["id", "label", "vec"])
 
     return (df.select(col(id_col).cast("long").alias("id"), col(label_col).cast("string").alias("label"),
@@ -78,7 +109,7 @@ def fit_cells(unique: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     """Centroids by (label, bytes of a vector) of the groups that need cells.
 
     The number of cells follows the group's size up to MAX_CELLS over all
-    groups; beyond that cells grow and are worked off in more blocks.
+    groups; beyond that cells grow and :func:`split_large_cells` divides them.
     """
     groups = (unique.groupBy("label", F.length("vec").alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > CELL_ROWS).orderBy(F.desc("n"), "label", "bytes").limit(MAX_CELLS // 2).collect())
@@ -104,46 +135,111 @@ def fit_cells(unique: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     return out
 
 
-def _assign(cells, threshold: float):
-    """One row per cell a vector is compared in; ``home`` marks its own."""
+def visits(x: np.ndarray, centre: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, whether it is the row's own) of every cell a row of ``x``
+    has to be compared in."""
     reach = np.sqrt(1 - threshold ** 2) / threshold
+    gram = centre @ centre.T
+    norm = np.diag(gram)
+    out = []
+    for lo in range(0, len(x), SLICE):
+        dots = x[lo:lo + SLICE] @ centre.T
+        own = dots.argmax(1)
+        gap = dots[np.arange(len(own)), own][:, None] - dots
+        apart = norm[own][:, None] + norm[None, :] - 2 * gram[own]
+        across = np.sqrt(np.maximum(apart - gap ** 2, 0.0))
+        d, c = np.nonzero(gap <= reach * across + 1e-9)  # holds for its own cell, too
+        out.append((d + lo, c, own[d] == c))
+    return tuple(np.concatenate(part) for part in zip(*out))
+
 
+def _assign(cells, threshold: float):
+    """One row per cell a vector is compared in; ``home`` marks its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, labels, vecs = (c.to_pylist() for c in batch.columns[:3])
-            by: dict[tuple, list[int]] = {}
-            for i, (label, vec) in enumerate(zip(labels, vecs)):
-                by.setdefault((label, len(vec)), []).append(i)
+            if not len(batch):
+                continue
+            names = batch.column(1).dictionary_encode()
+            code = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.diff(byte_column(batch.column(2))[1])
             rows, cell, home = [], [], []
-            for key, members in by.items():
-                centre = cells.value.get(key)
+            kinds, kind = np.unique(np.stack([code, size]), axis=1, return_inverse=True)
+            for k, (c, n_bytes) in enumerate(kinds.T.tolist()):
+                members = np.flatnonzero(kind.ravel() == k)
+                centre = cells.value.get((names.dictionary[c].as_py(), n_bytes))
                 if centre is None:
-                    rows += members
-                    cell += [0] * len(members)
-                    home += [True] * len(members)
-                    continue
-                x = np.frombuffer(b"".join(vecs[i] for i in members)).reshape(len(members), -1)
-                gram = centre @ centre.T
-                norm = np.diag(gram)
-                for lo in range(0, len(members), SLICE):
-                    dots = x[lo:lo + SLICE] @ centre.T
-                    own = dots.argmax(1)
-                    gap = dots[np.arange(len(own)), own][:, None] - dots
-                    apart = norm[own][:, None] + norm[None, :] - 2 * gram[own]
-                    across = np.sqrt(np.maximum(apart - gap ** 2, 0.0))
-                    d, c = np.nonzero(gap <= reach * across + 1e-9)  # holds for its own cell, too
-                    rows += [members[lo + i] for i in d]
-                    cell += c.tolist()
-                    home += (own[d] == c).tolist()
-            take = pa.array(rows, pa.int64())
+                    at, c_, own = np.arange(len(members)), np.zeros(len(members), np.int64), np.ones(len(members), bool)
+                else:
+                    at, c_, own = visits(matrix(batch.column(2).take(pa.array(members))), centre, threshold)
+                rows.append(members[at])
+                cell.append(c_)
+                home.append(own)
+            take = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1).take(take), pa.array(cell, pa.int32()), pa.array(home, pa.bool_()),
-                 batch.column(0).take(take), batch.column(3).take(take), batch.column(2).take(take)],
+                [batch.column(1).take(take), pa.array(np.concatenate(cell).astype(np.int32)),
+                 pa.array(np.concatenate(home)), *(batch.column(k).take(take) for k in (0, 3, 2))],
                 ["label", "cell", "home", "rep", "mult", "vec"])
 
     return run
 
 
+def _fit_inner(table: pa.Table) -> pa.Table:
+    """Centroids of a sample of one cell's residents, as one row."""
+    x = matrix(table.column("vec"))
+    order = np.argsort(table.column("rep").to_numpy(), kind="stable")
+    k = min(len(x), table.column("k")[0].as_py())
+    centre = spherical_kmeans(x[order], k)
+    return pa.table({**{c: table.column(c).slice(0, 1) for c in ("label", "cell", "bytes")},
+                     "centre": pa.array([centre.tobytes()], pa.binary())})
+
+
+def _assign_inner(threshold: float):
+    """A block of a cell's rows and the cell's inner centroids -> inner cells."""
+    def run(rows: pa.Table, fitted: pa.Table) -> pa.Table:
+        rows = rows.select(PLACED)
+        if not len(rows):
+            return rows.append_column("inner", pa.array([], pa.int32()))
+        x = matrix(rows.column("vec"))
+        at, cell, own = visits(x, matrix(fitted.column("centre")).reshape(-1, x.shape[1]), threshold)
+        out = rows.take(pa.array(at))
+        home = out.column("home").to_numpy(zero_copy_only=False).astype(bool) & own
+        out = out.set_column(PLACED.index("home"), "home", pa.array(home))
+        return out.append_column("inner", pa.array(cell.astype(np.int32)))
+
+    return run
+
+
+def split_large_cells(placed: DataFrame, threshold: float) -> DataFrame:
+    """``placed`` with a column ``inner``: cells of more than ``SPLIT_ROWS``
+    residents get cells of their own, fitted cell by cell on a bounded sample,
+    so that the number of cells goes on growing beyond what is broadcast.
+
+    The bound holds for any centroids, so again no link is lost. Centroids of
+    a cell meet its rows block by block, in tasks of at most about a block.
+    """
+    keys = ["label", "cell", "bytes"]
+    placed = placed.withColumn("bytes", F.length("vec"))
+    large = (placed.groupBy(*keys).agg(F.count_if("home").alias("residents"), F.count(F.lit(1)).alias("visitors"))
+             .where(F.col("residents") > SPLIT_ROWS))
+    large = write_table(large.select(*keys, F.ceil(F.col("visitors") / BLOCK_ROWS).cast("int").alias("blocks"),
+                                     F.least(F.lit(INNER_CELLS), F.ceil(F.col("residents") / CELL_ROWS)).cast("int")
+                                     .alias("k"), F.ceil(F.col("residents") / INNER_FIT).alias("every")), "large")
+    if large.isEmpty():
+        return placed.select(*PLACED, F.lit(0).alias("inner"))
+    drawn = (placed.where("home").join(large, keys)
+             .where(F.pmod(F.xxhash64("vec"), F.col("every")) == 0).select(*keys, "rep", "vec", "k"))
+    fitted = write_table(drawn.groupBy(*keys).applyInArrow(
+        _fit_inner, "label string, cell int, bytes int, centre binary"), "fitted")
+    fitted = fitted.join(large, keys)
+    block = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int").alias("block")
+    rows = placed.join(fitted.select(*keys, "blocks"), keys).select(*PLACED, "bytes", block)
+    each = fitted.select(*keys, "centre", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    inner = (rows.groupBy(*keys, "block").cogroup(each.groupBy(*keys, "block"))
+             .applyInArrow(_assign_inner(threshold), PLACED_TYPES + ", inner int"))
+    rest = placed.join(fitted.select(*keys), keys, "left_anti").select(*PLACED, F.lit(0).alias("inner"))
+    return write_table(rest.unionByName(inner), "inner")
+
+
 def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:
     """Smallest reachable node after adding edges (a, b) to labels ``root``."""
     while True:
@@ -166,7 +262,7 @@ def _compare(threshold: float):
         reps = table.column("rep").to_numpy()
         mult = table.column("mult").to_numpy()
         side = table.column("resident").to_numpy(zero_copy_only=False).astype(bool)
-        x = np.frombuffer(b"".join(table.column("vec").to_pylist())).reshape(len(reps), -1)
+        x = matrix(table.column("vec"))
         order = np.argsort(reps, kind="stable")  # local numbers follow the ids, so roots are smallest ids
         local = np.empty(len(reps), np.int64)
         nodes = np.unique(reps)
@@ -202,23 +298,23 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lab
                          .agg(F.min("id").alias("rep"), F.count_distinct("id").alias("mult"))
                          .select("rep", "label", "vec", "mult"), "unique")
     cells = spark.sparkContext.broadcast(fit_cells(unique))
-    placed = unique.mapInArrow(tidy(_assign(cells, threshold)), "label string, cell int, home boolean, rep long, "
-                                                          "mult long, vec binary")
-    placed = write_table(placed, "placed")
+    placed = write_table(unique.mapInArrow(tidy(_assign(cells, threshold)), PLACED_TYPES), "placed")
+    placed = split_large_cells(placed, threshold)
     # Blocks: residents by resident block, visitors (residents visit, too) by visiting block.
-    counts = (placed.groupBy("label", "cell", F.length("vec").alias("bytes"))
+    counts = (placed.groupBy("label", "cell", "inner", F.length("vec").alias("bytes"))
               .agg(F.count(F.lit(1)).alias("nv"), F.count_if("home").alias("nr"))
-              .select("label", "cell", "bytes", F.ceil(F.col("nv") / BLOCK_ROWS).cast("int").alias("bv"),
+              .select("label", "cell", "inner", "bytes", F.ceil(F.col("nv") / BLOCK_ROWS).cast("int").alias("bv"),
                       F.ceil(F.col("nr") / BLOCK_ROWS).cast("int").alias("br")).where("br > 0 AND nv > 1"))
-    dealt = placed.withColumn("bytes", F.length("vec")).join(counts, ["label", "cell", "bytes"])
+    dealt = placed.withColumn("bytes", F.length("vec")).join(counts, ["label", "cell", "inner", "bytes"])
     spread = F.xxhash64("rep")
     other = lambda n: F.sequence(F.lit(0), n - 1)
-    visit = dealt.select("label", "cell", "bytes", "rep", "mult", "vec", F.lit(False).alias("resident"),
+    visit = dealt.select("label", "cell", "inner", "bytes", "rep", "mult", "vec", F.lit(False).alias("resident"),
                          F.pmod(spread, F.col("bv")).cast("int").alias("vb"), F.explode(other(F.col("br"))).alias("rb"))
-    live = dealt.where("home").select("label", "cell", "bytes", "rep", "mult", "vec", F.lit(True).alias("resident"),
+    live = dealt.where("home").select("label", "cell", "inner", "bytes", "rep", "mult", "vec",
+                                      F.lit(True).alias("resident"),
                                       F.explode(other(F.col("bv"))).alias("vb"),
                                       F.pmod(spread, F.col("br")).cast("int").alias("rb"))
-    found = write_table(visit.unionByName(live).groupBy("label", "cell", "bytes", "vb", "rb")
+    found = write_table(visit.unionByName(live).groupBy("label", "cell", "inner", "bytes", "vb", "rb")
                         .applyInArrow(_compare(threshold), "a long, b long, links long"), "links")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b IS NOT NULL")).select(F.col("node").alias("rep"), "root")

@@ -123,3 +123,25 @@ def test_odd_vector_ids(spark):
     assert got == Counter({(None, 0, None, True): 2, (3, 1, 3, True): 2, (4, 1, 3, False): 1})
     empty = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
     assert embed_dedup.dedup(empty).count() == 0
+
+
+def test_vectors_in_cells_within_cells(spark, monkeypatch):
+    for name, size in {"CELL_ROWS": 16, "MAX_CELLS": 8, "SPLIT_ROWS": 40, "INNER_CELLS": 6, "INNER_FIT": 50,
+                       "BLOCK_ROWS": 13}.items():
+        monkeypatch.setattr(embed_dedup, name, size)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(12, 6))
+    x = np.concatenate([centre[rng.integers(0, 12, 700)] + 0.35 * rng.normal(size=(700, 6)), rng.normal(size=(80, 6))])
+    rows = [(i, v.tolist(), ("a", "a", "b")[i % 3]) for i, v in enumerate(x)]
+    divided = []
+    inner = embed_dedup.split_large_cells
+    monkeypatch.setattr(embed_dedup, "split_large_cells", lambda *a: divided.append(inner(*a)) or divided[-1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.dedup(df).collect()}
+    assert divided[0].agg({"inner": "max"}).first()[0] == 5
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    label = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    root = roots(len(x), list(zip(*np.nonzero(np.tril(near)))))
+    assert got == {i: (int(near[i].sum()), root[i]) for i in range(len(x))}
+    assert near.any(1).sum() > 200
