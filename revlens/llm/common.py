@@ -24,6 +24,8 @@ from revlens.session import write_table
 CHUNK_BYTES = 1 << 20
 # A side is broadcast only when its rows were counted and fit in this many bytes.
 BROADCAST_BYTES = 48 << 20
+# What one task of a shuffle with an explicit number of partitions should read.
+SHUFFLE_BYTES = 128 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +77,14 @@ def join_measured(left: DataFrame, right: DataFrame, on: str | list[str], how: s
     return left.join(right, on, how)
 
 
+def task_count(df: DataFrame, size: Column, factor: float) -> int:
+    """Partitions for a shuffle of ``factor`` times the summed ``size`` of
+    ``df``: the session's number, and more where a task would get over
+    ``SHUFFLE_BYTES`` (an explicit number is never split at run time)."""
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(-(-total * factor // SHUFFLE_BYTES)))
+
+
 def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``fn`` for mapInArrow; at the end of a task the worker, which lives on
     for other tasks, gives back the memory it has freed."""

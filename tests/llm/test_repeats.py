@@ -149,3 +149,47 @@ def test_cut_words_leaves_the_rest_as_it_stood():
     assert substring_dedup.cut_words(b"  a b\n c  d e ", [1], [3]) == b"  a d e "
     assert substring_dedup.cut_words(b"a b", [0], [2]) == b""
     assert substring_dedup.cut_words(b"a\n\nb c", [1], [3]) == b"a\n\n"
+
+
+def test_runs_are_named_by_a_digest():
+    a = bytes(b"ab"[bin(i).count("1") & 1] for i in range(1024))
+    b = a.translate(bytes.maketrans(b"ab", b"ba"))
+    data = np.frombuffer(a + b + a, np.uint8)
+    cut = np.array([0, 1024, 2048, 3072])
+    poly = PrefixHash.of_bytes(data).ranges(cut[:-1], cut[1:])
+    assert poly[0] == poly[1]  # what a polynomial modulo 2^64 makes of them
+    one, two = suffix_dedup.run_digests(data, cut[:-1], cut[1:])
+    assert one[0] == one[2] != one[1] and two[0] == two[2] != two[1]
+
+
+def test_suffix_on_alternating_letters(spark):
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(4096))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(0, a[:1500]), (1, b[:1500]), (2, "x" + b), (3, a[700:2100] + "c" + a[700:2100]), (4, b[:1024] + a[:1024])]
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(tuple(r) for r in got) == brute_bytes(rows, 100)
+
+
+@pytest.mark.parametrize("op", ["op7", "op8", "op9"])
+def test_both_sides_shuffled(docs, monkeypatch, op):
+    """Beyond the broadcast bound, and with more partitions than the session's."""
+    from revlens.llm import common, ngram_join
+
+    run = {"op7": ngram_join.join_classes, "op8": suffix_dedup.digests, "op9": substring_dedup.digests}[op]
+    small = Counter(tuple(r) for r in run(docs).collect())
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "SHUFFLE_BYTES", 10_000)
+    assert Counter(tuple(r) for r in run(docs).collect()) == small
+
+
+def test_partitions_follow_the_bytes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from revlens.llm import common
+
+    texts = spark.createDataFrame([("é" * 500,), (None,), ("a" * 24,)], "text string")
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert common.task_count(texts, F.octet_length("text"), 2) == conf
+    monkeypatch.setattr(common, "SHUFFLE_BYTES", 64)
+    assert common.task_count(texts, F.octet_length("text"), 2) == 32
+    assert common.task_count(texts.limit(0), F.octet_length("text"), 2) == conf
