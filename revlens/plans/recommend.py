@@ -25,7 +25,8 @@ from revlens.operators.skew import SkewSpec
 from revlens.operators.topk import top_items
 from revlens.session import checkpoint_dir, write_table
 
-ALS_BLOCKS = 10
+ALS_BLOCKS = 10                # at least, as Spark has it
+BLOCK_RATINGS = 10_000_000     # ratings of one block of users (or items)
 CATALOG_COLS = (ITEM, "name", "address", "postal_code", "city")
 
 
@@ -81,24 +82,32 @@ def prepare(business: DataFrame, reviews: DataFrame, on_missing: str = "error",
 
 
 def als_estimator(rank: int = 30, max_iter: int = 50, reg_param: float = 0.3,
-                  seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS,
+                  seed: int = ALS_SEED, num_blocks: int | None = None,
                   checkpoint_interval: int = 10) -> ALS:
     """Explicit-feedback ALS; unseen users or items give no prediction.
 
-    ``num_blocks`` (user and item blocks) decides how the factors start, so
-    it never follows the cluster: the same data and seed give the same model
-    anywhere. Raise it for a large cluster and keep it.
+    ``num_blocks`` (user and item blocks) decides how the factors start and
+    how many tasks a round has. None: :func:`fit` takes it from the number of
+    ratings, never from the cluster, so the same data and seed give the same
+    model anywhere.
     """
     als = ALS(userCol=USER, itemCol=ITEM, ratingCol=RATING,
               coldStartStrategy="drop", seed=seed, rank=rank, maxIter=max_iter,
               regParam=reg_param, checkpointInterval=checkpoint_interval)
-    als.setNumBlocks(num_blocks)
-    return als
+    return als if num_blocks is None else als.setNumBlocks(num_blocks)
+
+
+def blocks_for(ratings: DataFrame) -> int:
+    """Blocks of at most ``BLOCK_RATINGS`` ratings on average, ``ALS_BLOCKS`` at least."""
+    return max(ALS_BLOCKS, -(-ratings.count() // BLOCK_RATINGS))
 
 
 def fit(als: ALS, ratings: DataFrame) -> ALSModel:
-    """Fit with the session's checkpoint folder registered (long lineages)."""
+    """Fit with the session's checkpoint folder registered (long lineages) and,
+    unless the estimator says otherwise, blocks that follow the ratings."""
     checkpoint_dir(ratings.sparkSession)
+    if not als.isSet(als.numUserBlocks):
+        als = als.copy().setNumBlocks(blocks_for(ratings))
     return als.fit(ratings)
 
 
@@ -150,7 +159,7 @@ def persona_id_of(ratings: DataFrame) -> int:
 
 def recommend(prep: Prepared, favourite: str, n: int = 10, rank: int = 30,
               max_iter: int = 50, reg_param: float = 0.3, literal: bool = False,
-              seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS) -> Recommendation:
+              seed: int = ALS_SEED, num_blocks: int | None = None) -> Recommendation:
     """Top-n items for a new user who rated every matching item 5.0."""
     favourites = require_match(match_items(prep.catalog, favourite, literal), favourite)
     uid = persona_id_of(prep.ratings)
@@ -174,7 +183,7 @@ class Recommendations:
 
 
 def recommend_personas(prep: Prepared, personas: DataFrame, n: int = 10, rank: int = 30, max_iter: int = 50,
-                       reg_param: float = 0.3, seed: int = ALS_SEED, num_blocks: int = ALS_BLOCKS) -> Recommendations:
+                       reg_param: float = 0.3, seed: int = ALS_SEED, num_blocks: int | None = None) -> Recommendations:
     """Top-n items for every row of ``personas`` (persona, pattern) in one fit.
 
     Each persona that matches anything is a new user who rated its matches

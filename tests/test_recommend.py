@@ -131,3 +131,21 @@ def test_prepare_salts_only_hot_keys(spark):
     assert "_rl_salt" in salted.ratings._jdf.queryExecution().executedPlan().toString()
     key = lambda df: sorted(tuple(x) for x in df.collect())
     assert key(plain.ratings) == key(salted.ratings)
+
+
+def test_als_blocks_follow_the_ratings(spark, monkeypatch):
+    from revlens.plans import recommend as plan
+
+    ratings = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(20) for i in range(9)],
+                                    f"{USER} int, {ITEM} int, rating double")
+    est = als_estimator(rank=2, max_iter=2)
+    assert plan.blocks_for(ratings) == 10 and not est.isSet(est.numUserBlocks)
+    monkeypatch.setattr(plan, "BLOCK_RATINGS", 14)
+    assert plan.blocks_for(ratings) == 13 and plan.blocks_for(ratings.limit(0)) == 10
+    factors = lambda m: sorted((r["id"], list(r["features"])) for r in m.userFactors.collect())
+    derived, given = fit(est, ratings), fit(als_estimator(rank=2, max_iter=2, num_blocks=13), ratings)
+    assert factors(derived) == factors(given)
+    assert not est.isSet(est.numUserBlocks)  # the caller's estimator stays as it was
+    # the same model for other partitions of the same rows, up to the order of sums
+    other = factors(fit(est, ratings.repartition(5, ITEM)))
+    assert all(a == b and x == pytest.approx(y, abs=1e-3) for (a, x), (b, y) in zip(factors(derived), other))
