@@ -77,12 +77,17 @@ def join_measured(left: DataFrame, right: DataFrame, on: str | list[str], how: s
     return left.join(right, on, how)
 
 
+def tasks_for(spark: SparkSession, n_bytes: float) -> int:
+    """Partitions for a shuffle of ``n_bytes``: the session's number, and more
+    where a task would get over ``SHUFFLE_BYTES`` (an explicit number is never
+    split at run time)."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-n_bytes // SHUFFLE_BYTES)))
+
+
 def task_count(df: DataFrame, size: Column, factor: float) -> int:
-    """Partitions for a shuffle of ``factor`` times the summed ``size`` of
-    ``df``: the session's number, and more where a task would get over
-    ``SHUFFLE_BYTES`` (an explicit number is never split at run time)."""
+    """:func:`tasks_for` ``factor`` times the summed ``size`` of ``df``."""
     total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(-(-total * factor // SHUFFLE_BYTES)))
+    return tasks_for(df.sparkSession, total * factor)
 
 
 def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):

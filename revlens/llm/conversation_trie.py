@@ -38,12 +38,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import byte_column, col, runs, tidy
+from revlens.llm.common import byte_column, col, runs, task_count, tasks_for, tidy
 from revlens.session import write_table
 
 SHARED = 20              # conversations from c - c % SHARED on take their first turns from that one
 HEAD = 4                 # so many at most, less one
 SHARD_TURNS = 1 << 18    # turns of the sequences that share a double array (more if a sequence has more)
+TURN_BYTES = 24          # a shuffled turn: name and number of words
+MEMBER_BYTES = 48        # a shuffled member: id and name of its sequence
 MEMBER_BITS = 13         # members whose ids agree above so many bits are one block
 PROBES = 64              # free slots tried for a node's children before the arrays are extended
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,9 +83,10 @@ def rebuilt(convs: DataFrame) -> DataFrame:
     return both.select("conv", F.concat(head, own).alias("turns"))
 
 
-def sequences(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((names, words, conv, n, seq), (seq, ends)): distinct sequences with
-    their smallest member and number of members; the hash of the members' ids."""
+def sequences(convs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """((names, words, conv, n, seq), (seq, ends), partitions): distinct
+    sequences with their smallest member and number of members; the hash of
+    the members' ids; partitions for a shuffle of the sequences."""
     names = F.transform("turns", lambda t: t["name"])
     # names have one length, so their hexadecimal digits in a row tell sequences apart
     seq = F.unhex(F.sha2(F.array_join(F.transform(names, lambda n: F.hex(n)), "").cast("binary"), 256))
@@ -91,7 +94,8 @@ def sequences(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                     seq.alias("seq")), "sequences")
     distinct = (rows.groupBy("seq").agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n"))
                 .join(rows.select("conv", "names", "words"), "conv"))
-    return distinct, member_hashes(rows.select("seq", "conv"))
+    parts = task_count(rows, F.size("names") * TURN_BYTES + MEMBER_BYTES, 1)
+    return distinct, member_hashes(rows.select("seq", "conv")), parts
 
 
 def member_hashes(rows: DataFrame) -> DataFrame:
@@ -122,7 +126,7 @@ def member_hashes(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([s for s, _ in done], pa.binary()),
                                            pa.array([h for _, h in done])], ["seq", "ends"])
 
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = tasks_for(rows.sparkSession, rows.count() * MEMBER_BYTES)
     return (blocks.repartition(parts, "seq").sortWithinPartitions("seq", "block").select("seq", "ids")
             .mapInArrow(tidy(run), "seq binary, ends string"))
 
@@ -352,8 +356,7 @@ def _above(table: pa.Table) -> pa.Table:
 
 def prefix_trie(convs: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """One row per node of the prefix trie of (conv, turns)."""
-    distinct, hashes = sequences(convs)
-    parts = int(convs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct, hashes, parts = sequences(convs)
     ranged = distinct.repartitionByRange(parts, "names").sortWithinPartitions("names")
     nodes = write_table(ranged.select("names", "words", "conv", "n", F.spark_partition_id().alias("part"), "seq")
                         .mapInArrow(tidy(_shard(shard_turns)), NODES), "nodes")

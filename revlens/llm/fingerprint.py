@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (CHUNK_BYTES, NOT_SPACE, keyed_texts, mix64, runs, tidy, word_hashes,
+from revlens.llm.common import (CHUNK_BYTES, NOT_SPACE, keyed_texts, mix64, runs, tasks_for, tidy, word_hashes,
                                 word_spans)
 
 SAMPLES = 64
@@ -181,11 +181,11 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows, _ = keyed_texts(docs, id_col, text_col)
-    n = rows.count()
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text").cast("long"))).first()
     if not n:
         return spark.createDataFrame([], OUT)
+    parts = tasks_for(spark, size)
     buckets = max(1, min(8 * parts, n))
     # Boundaries from about 20 sampled keys a bucket, as a range partitioner draws them.
     every = max(1, n // (20 * buckets))

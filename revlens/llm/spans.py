@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import (flat_ranges, join_measured, merge_intervals, runs, tidy)
+from revlens.llm.common import (flat_ranges, join_measured, merge_intervals, runs, tasks_for, tidy)
 from revlens.session import write_table
 
 MAX_RUN = 1 << 15   # windows of a run; longer ones are split
+SPAN_BYTES = 32     # a shuffled interval
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -56,10 +57,10 @@ def window_runs(h: np.ndarray, window: int, gram: int, cut: np.ndarray) -> tuple
     return at[first], size, m[first], doc[first]
 
 
-def write_spans(found: DataFrame) -> DataFrame:
+def write_spans(found: DataFrame, n: int) -> DataFrame:
     """(rid, los, his): the union of the intervals (rid, lo, hi) of each
     document, in the shared folder. A document's intervals meet in one task;
-    their number is bounded by its length."""
+    their number is bounded by its length. ``found`` has at most ``n`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         rows = 0
@@ -88,7 +89,7 @@ def write_spans(found: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(block[0, first[:-1]]), pa.array(los, pa.list_(pa.int64())),
                                            pa.array(his, pa.list_(pa.int64()))], ["rid", "los", "his"])
 
-    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = tasks_for(found.sparkSession, n * SPAN_BYTES)
     return write_table(found.select("rid", "lo", "hi").repartition(parts, "rid").sortWithinPartitions("rid", "lo")
                        .mapInArrow(tidy(run), "rid long, los array<long>, his array<long>"), "spans")
 

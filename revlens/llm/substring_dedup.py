@@ -35,11 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.llm.common import (NOT_SPACE, PrefixHash, byte_column, col, doc_chunks, flat_ranges, fresh, keyed,
-                                keyed_texts, mix64, runs, tidy, word_hashes, word_spans)
+                                keyed_texts, mix64, runs, task_count, tidy, word_hashes,
+                                word_spans)
 from revlens.llm.spans import covered, window_runs, with_spans, write_spans
 from revlens.session import write_table
 
 WINDOW = 50
+WINDOW_FACTOR = 2.2        # bytes of window rows a byte of text
 FOLD_ROWS = 100_000        # runs a task folds at a time
 TASK_WINDOWS = 500_000     # windows counted at a time
 HOT_WINDOWS = 4_000_000    # windows of one anchor that one task counts
@@ -188,13 +190,14 @@ def _count_windows(window: int, hot: int):
 def repeated_spans(texts: DataFrame, window: int = WINDOW, hot: int = HOT_WINDOWS) -> DataFrame:
     """(rid, los, his): intervals of word numbers covered by windows that also
     start in a document with a smaller key, of documents (rid, text)."""
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = task_count(texts, F.octet_length("text"), WINDOW_FACTOR)
     dealt = (texts.select("rid", "text").mapInArrow(tidy(_window_rows(window)), ROWS)
              .repartition(parts, "akey").sortWithinPartitions("akey"))
     found = write_table(dealt.mapInArrow(tidy(_count_windows(window, hot)), FOUND), "covered")
     late = found.where("wkey IS NOT NULL")
     done = found.where("wkey IS NULL").select("rid", "lo", "hi")
-    return write_spans(done if late.isEmpty() else done.unionByName(covered(late, ["rid"])))
+    n = found.count()
+    return write_spans(done if late.isEmpty() else done.unionByName(covered(late, ["rid"])), n)
 
 
 def _words(data: np.ndarray):

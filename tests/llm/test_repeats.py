@@ -193,3 +193,17 @@ def test_partitions_follow_the_bytes(spark, monkeypatch):
     monkeypatch.setattr(common, "SHUFFLE_BYTES", 64)
     assert common.task_count(texts, F.octet_length("text"), 2) == 32
     assert common.task_count(texts.limit(0), F.octet_length("text"), 2) == conf
+
+
+@pytest.mark.parametrize("op", ["op5", "op13"])
+def test_more_partitions_than_the_sessions(spark, sf001, docs, monkeypatch, op):
+    from revlens.llm import common, conversation_trie, fingerprint
+
+    def run():
+        if op == "op5":
+            return Counter(tuple(r) for r in fingerprint.fingerprint_documents(docs).collect())
+        return Counter(tuple(r) for r in conversation_trie.trie_of(common.load(spark, sf001, "conversations")).collect())
+
+    small = run()
+    monkeypatch.setattr(common, "SHUFFLE_BYTES", 2_000)
+    assert run() == small
