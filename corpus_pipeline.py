@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import langid, mixing, ngram_join, packing, substring_dedup
-from revlens.llm.common import col, fresh, join_measured, keyed, load
+from revlens.llm.common import col, fresh, join_measured, keyed, load, task_count
 from revlens.llm.queries import tokenizer_path
 from revlens.session import write_table
 
@@ -82,7 +82,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(mixing.sized_documents(rows, key))
     order = write_table(mixing.curriculum(plan).select("doc_id", "words", "size", "place"), "order")
     n = order.count()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = task_count(rows, F.coalesce(F.octet_length("text"), F.lit(0)), 1)  # the mix is as large as what it mixes
     place, words, size = (fresh(rows, c) for c in ("place", "words", "size"))
     asked = order.select(F.col("doc_id").alias(key), F.col("place").alias(place), F.col("words").alias(words),
                          F.col("size").alias(size))
