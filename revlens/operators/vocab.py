@@ -17,13 +17,28 @@ from revlens.session import write_table
 
 TERM = "term"
 TERM_INDEX = "term_index"
+# Text of one partition whose terms are counted: its hash table stays in a task's memory.
+PARTITION_BYTES = 16 << 20
+
+
+def by_document(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """``docs`` dealt by document, to be tokenised afterwards.
+
+    All rows of a document then lie in one partition, so its terms are counted
+    there: the text is shuffled once, and not every (document, term) row. The
+    number of partitions follows the bytes of the text.
+    """
+    n_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(max(least, -(-n_bytes // PARTITION_BYTES)), doc_col)
 
 
 def term_frequency(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
     """(doc, term, tf): occurrences of each term in each document.
 
-    The partial aggregate runs before the shuffle, so a document's repeated
-    terms leave its task as one row each. ``explode_outer`` + an explicit
+    Documents dealt by :func:`by_document` are counted where they are; others
+    are shuffled by (document, term), after a partial aggregate that leaves
+    one row of a document's repeated terms. ``explode_outer`` + an explicit
     null filter: a plain ``explode`` makes the optimizer infer a
     ``size(terms) > 0`` filter and push it, with the whole tokenizer
     expression inlined, down to the scan, where it runs a second time.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import glue_list, join_words, ngrams, remove_stopwords, tokenize
 from revlens.operators.extremes import key_extremes
-from revlens.operators.vocab import TERM, term_frequency, term_stats, term_table, tfidf, vocabulary
+from revlens.operators.vocab import TERM, by_document, term_frequency, term_stats, term_table, tfidf, vocabulary
 from revlens.queries.sql import DOCS as TEXT, bigram_list, filtered_list
 from revlens.sources import tables
 
@@ -16,8 +16,11 @@ GLUE_KEYS = 20
 EXTREMES_N = 50
 
 
-def _words(spark: SparkSession, sf: str) -> DataFrame:
+def _words(spark: SparkSession, sf: str, counted: bool = False) -> DataFrame:
+    """Token arrays; ``counted``: dealt by document, for term counts."""
     docs = tables.review_text(spark, sf)
+    if counted:
+        docs = by_document(docs, "doc_id", "text")
     return docs.select("doc_id", tokenize(F.lower(F.col("text"))).alias("words"))
 
 
@@ -43,11 +46,11 @@ def remove_stopwords_q(spark, sf):
 
 
 def _bigram_docs(spark, sf):
-    return _words(spark, sf).select("doc_id", "words", ngrams("words", 2).alias("grams"))
+    return _words(spark, sf, counted=True).select("doc_id", ngrams("words", 2).alias("grams"))
 
 
 def _filtered_docs(spark, sf):
-    return _words(spark, sf).select("doc_id", remove_stopwords("words").alias("kept"))
+    return _words(spark, sf, counted=True).select("doc_id", remove_stopwords("words").alias("kept"))
 
 
 def glue_bigrams(spark, sf):
@@ -56,11 +59,10 @@ def glue_bigrams(spark, sf):
     The key list is a top-20 (TakeOrderedAndProject): 20 strings reach the
     driver and go back as one literal array.
     """
-    docs = _bigram_docs(spark, sf)
-    top = (term_stats(docs, "doc_id", "grams")
+    top = (term_stats(_bigram_docs(spark, sf), "doc_id", "grams")
            .orderBy(F.col("tf").desc(), F.col(TERM).asc()).limit(GLUE_KEYS))
     keys = [r[TERM] for r in top.collect()]
-    return docs.select("doc_id", glue_list(join_words("words"), keys).alias("glued_text"))
+    return _words(spark, sf).select("doc_id", glue_list(join_words("words"), keys).alias("glued_text"))
 
 
 def ngram_vocabulary(spark, sf):

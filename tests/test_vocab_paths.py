@@ -92,3 +92,31 @@ def test_text_is_evaluated_once_by_tfidf_and_vectors(spark):
             out = sparse_features(docs.select("doc_id"), table, V.vocabulary(V.table_stats(table)), 40, "doc_id")
         out.collect()
         assert calls.value == 40
+
+
+def _shuffles(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()   # after a run: the final plan and the first
+    return sorted({line.split("Exchange ")[1].split(", [plan_id")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line})
+
+
+def test_terms_are_counted_where_their_document_lies(spark):
+    """One shuffle of the text, none of the (document, term) rows; ids repeat and are null."""
+    rows = [(1, "a b a"), (1, "a c"), (2, "b"), (None, "a"), (None, "a b"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = V.term_frequency(docs.select("doc_id", F.split("text", " ").alias("w")), "doc_id", "w")
+    dealt = V.by_document(docs, "doc_id", "text").select("doc_id", F.split("text", " ").alias("w"))
+    counted = V.term_frequency(dealt, "doc_id", "w")
+    assert sorted(map(str, counted.collect())) == sorted(map(str, plain.collect()))
+    assert len(_shuffles(counted)) == 1 and "term" not in _shuffles(counted)[0]
+
+
+def test_vocabulary_shuffles_no_document_term_rows(spark, sf001):
+    from revlens.queries import text
+    stats = V.term_stats(text._bigram_docs(spark, sf001), "doc_id", "grams")
+    assert not any("doc_id" in s and "term" in s for s in _shuffles(stats))
+
+
+def test_text_partitions_follow_its_bytes(spark, monkeypatch):
+    monkeypatch.setattr(V, "PARTITION_BYTES", 100)
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 40).alias("text"))
+    assert V.by_document(docs, "doc_id", "text").rdd.getNumPartitions() == 20
