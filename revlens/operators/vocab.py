@@ -8,7 +8,7 @@ with ``minDocFreq = 0``; tf-idf is the raw count times IDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.indexing import row_index
@@ -19,6 +19,8 @@ TERM = "term"
 TERM_INDEX = "term_index"
 # Text of one partition whose terms are counted: its hash table stays in a task's memory.
 PARTITION_BYTES = 16 << 20
+# The least share of all rows that Spark's freqItems looks for.
+LEAST_SUPPORT = 1e-4
 
 
 def by_document(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
@@ -83,16 +85,52 @@ def idf(stats: DataFrame, n_docs, *also: Column) -> DataFrame:
     return stats.select(TERM, *also, F.log((n + 1) / (F.col("df") + 1)).alias("idf"))
 
 
+def frequent_terms(table: DataFrame, doc_col: str, n_docs: int, skew: SkewSpec) -> DataFrame | None:
+    """(term, df) of at least the terms in ``skew.min_rows`` documents, without
+    a shuffle of the table; None if there can't be any.
+
+    Spark's ``freqItems`` names every term above a share of the rows, and some
+    below it, from one pass; only their rows are counted then.
+    """
+    if n_docs < skew.min_rows:
+        return None
+    support = skew.min_rows / max(table.count(), 1)
+    if support > 1:
+        return None
+    if support < LEAST_SUPPORT:
+        return table_stats(table).where(F.col("df") >= F.lit(skew.min_rows)).select(TERM, "df")
+    # a little below, as it names what lies above
+    named = table.stat.freqItems([TERM], max(LEAST_SUPPORT, support * 0.9)).select(F.explode(f"{TERM}_freqItems").alias(TERM))
+    rows = table.join(F.broadcast(named), TERM, "left_semi")
+    found = write_table(rows.groupBy(TERM).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= F.lit(skew.min_rows)), "frequent")
+    return None if found.isEmpty() else found
+
+
 def tfidf(table: DataFrame, doc_col: str, n_docs, stats: DataFrame | None = None,
           skew: SkewSpec = SkewSpec()) -> DataFrame:
     """(doc, term, tf, tfidf) of a (doc, term, tf) table.
 
     Document frequencies come from ``stats`` (default: the table's own), built
     on ``n_docs`` documents (a Column or int); terms without any are left out.
-    Both sides grow with the corpus and are shuffled by term; terms of very
-    many documents (their ``df`` says how many rows they have) are salted. No
-    position of a term is needed, so nothing is sorted.
+    No position of a term is needed.
+
+    With the table's own statistics and a known number of documents the table
+    is shuffled by term once, and a term's rows are counted where they meet;
+    terms of very many documents don't move but get their counts by a join
+    with their short list. With other statistics both sides grow with the
+    corpus and are shuffled by term; terms of very many documents (their
+    ``df`` says how many rows they have) are salted.
     """
+    if stats is None and isinstance(n_docs, int):
+        weight = lambda df: F.log((F.lit(n_docs) + 1) / (F.col(df) + 1))
+        out = [doc_col, TERM, "tf", (F.col("tf") * weight("df")).alias("tfidf")]
+        table = table.select(doc_col, TERM, "tf")
+        if n_docs >= skew.min_rows:
+            table = write_table(table, "terms")   # read three times
+        often = frequent_terms(table, doc_col, n_docs, skew)
+        rest = table if often is None else table.join(F.broadcast(often.select(TERM)), TERM, "left_anti")
+        met = rest.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(TERM))).select(*out)
+        return met if often is None else met.unionByName(table.join(F.broadcast(often), TERM).select(*out))
     if stats is None:
         stats = write_table(table_stats(table), "term-stats")
     weights = idf(stats, n_docs)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import glue_list, join_words, ngrams, remove_stopwords, tokenize
 from revlens.operators.extremes import key_extremes
-from revlens.operators.vocab import TERM, by_document, term_frequency, term_stats, term_table, tfidf, vocabulary
+from revlens.operators.vocab import TERM, by_document, term_frequency, term_stats, tfidf, vocabulary
 from revlens.queries.sql import DOCS as TEXT, bigram_list, filtered_list
 from revlens.sources import tables
 
@@ -82,18 +82,17 @@ def term_frequency_q(spark, sf):
     return term_frequency(_filtered_docs(spark, sf), "doc_id", "kept")
 
 
-def _tfidf(docs, terms_col):
-    table = term_table(docs, "doc_id", terms_col)
-    out = tfidf(table, "doc_id", docs.agg(F.count(F.lit(1))).scalar())
+def _tfidf(docs, n_docs, terms_col):
+    out = tfidf(term_frequency(docs, "doc_id", terms_col), "doc_id", n_docs)
     return out.select("doc_id", TERM, "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
 def tfidf_bigram(spark, sf):
-    return _tfidf(_bigram_docs(spark, sf), "grams")
+    return _tfidf(_bigram_docs(spark, sf), tables.review_text(spark, sf).count(), "grams")
 
 
 def tfidf_filtered(spark, sf):
-    return _tfidf(_filtered_docs(spark, sf), "kept")
+    return _tfidf(_filtered_docs(spark, sf), tables.review_text(spark, sf).count(), "kept")
 
 
 def key_extremes_q(spark, sf):

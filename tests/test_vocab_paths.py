@@ -120,3 +120,21 @@ def test_text_partitions_follow_its_bytes(spark, monkeypatch):
     monkeypatch.setattr(V, "PARTITION_BYTES", 100)
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 40).alias("text"))
     assert V.by_document(docs, "doc_id", "text").rdd.getNumPartitions() == 20
+
+
+def test_tfidf_shuffles_its_rows_once(spark):
+    docs = _docs(spark).select("doc_id", F.array_join("w", " ").alias("text"))
+    dealt = V.by_document(docs, "doc_id", "text").select("doc_id", F.split("text", " ").alias("w"))
+    out = V.tfidf(V.term_frequency(dealt, "doc_id", "w"), "doc_id", 80)
+    assert len(_shuffles(out)) == 2   # the text by document, the rows by term
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_terms_are_counted_apart(spark):
+    rows = [(d, t) for d in range(40) for t in ["all", f"own{d}", *(["half"] if d % 2 else [])]]
+    table = spark.createDataFrame(rows, "doc_id long, term string").withColumn("tf", F.lit(2).cast("long"))
+    often = V.frequent_terms(table, "doc_id", 40, SkewSpec(min_rows=20))
+    assert sorted(map(tuple, often.collect())) == [("all", 40), ("half", 20)]
+    assert V.frequent_terms(table, "doc_id", 40, SkewSpec(min_rows=41)) is None
+    plain, apart = (V.tfidf(table, "doc_id", 40, skew=SkewSpec(min_rows=m)) for m in (1000, 20))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, apart.collect()))
