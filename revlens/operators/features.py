@@ -60,6 +60,12 @@ def sparse_features(docs: DataFrame, table: DataFrame, vocab: DataFrame, n_docs:
     return spark.read.schema(schema).parquet(path)
 
 
+def in_few_parts(df: DataFrame) -> DataFrame:
+    """``df`` in no more partitions than the cluster has cores: in every round
+    of a linear fit each partition sends vectors of one double per term."""
+    return df.coalesce(max(2, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def coefficient_rows(spark: SparkSession, coefficients) -> DataFrame:
     """(term_index, weight) of a model's coefficients.
 

@@ -18,9 +18,9 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N, SPLIT_S
                                      TOKEN_PATTERN)
 from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
-from revlens.operators.features import coefficient_rows, sparse_features
+from revlens.operators.features import coefficient_rows, in_few_parts, sparse_features
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import TERM, TERM_INDEX, table_stats, term_table, vocabulary
+from revlens.operators.vocab import TERM, TERM_INDEX, by_document, table_stats, term_table, vocabulary
 
 
 @dataclass
@@ -59,7 +59,7 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     # Tokenise once: the term table and gluing reuse the token arrays.
     # Persisted, not written: the lineage (scan -> regex) is deterministic, so
     # a lost executor simply recomputes its part.
-    words = (docs.withColumn("words", tokenize(text_col, pattern))
+    words = (by_document(docs, doc_col, text_col).withColumn("words", tokenize(text_col, pattern))
              .persist(StorageLevel.MEMORY_AND_DISK))
     grams = words.select(doc_col, ngrams("words", n).alias("ngrams"))
     table = term_table(grams, doc_col, "ngrams")
@@ -69,7 +69,7 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     n_fit = (words if fit_on_all else train).count()
     feats = sparse_features(train.select(doc_col, label_col), fit_table, vocab, n_fit, doc_col, "tf_idf")
     svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",
-                    labelCol=label_col).fit(feats)
+                    labelCol=label_col).fit(in_few_parts(feats))
     weights = coefficient_frame(spark, svc, vocab)
     extremes = key_extremes(weights, per_side)
     keys = key_list(extremes)

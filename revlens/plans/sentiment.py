@@ -24,7 +24,7 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      POSITIVE_MIN_STARS, SPLIT_SEED, SVM_REG_GRID,
                                      TOKEN_PATTERN)
 from revlens.functions.text import remove_stopwords, tokenize
-from revlens.operators.features import sparse_features
+from revlens.operators.features import in_few_parts, sparse_features
 from revlens.operators.sampling import hash_split
 from revlens.operators.vocab import table_stats, term_table, vocabulary
 from revlens.plans.keyphrase import KeyNgrams, key_ngrams
@@ -87,7 +87,7 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     n_fit = (docs if fit_on_all else train).count()
     features = sparse_features(docs, table, vocab, n_fit, doc_col)
     train_f, test_f = hash_split(features, [0.8, 0.2], seed, [doc_col])
-    train_f = train_f.persist(StorageLevel.MEMORY_AND_DISK)
+    train_f = in_few_parts(train_f).persist(StorageLevel.MEMORY_AND_DISK)
     svc = LinearSVC(maxIter=max_iter, labelCol="label")
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
                                               labelCol="label", numBins=num_bins)
