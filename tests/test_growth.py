@@ -1,7 +1,10 @@
 """What the review queries move and how many tasks share it, as the tables grow."""
 
+from pyspark.sql import functions as F
+
 import revlens.plans.recommend as plan
 from revlens.operators.persona import USER
+from revlens.queries import models
 from revlens.sources import tables
 
 
@@ -24,3 +27,25 @@ def test_scores_of_one_user_are_not_dealt_by_user(spark, sf001):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     # the candidates and the list are read by several results, made once
     assert rec.candidates.inputFiles() and rec.top.inputFiles()
+
+
+def test_personas_names_and_items_in_pieces(spark, sf001, monkeypatch):
+    monkeypatch.setattr(plan, "CATALOG_ROWS", 50)
+    written, real = {}, plan.write_table
+
+    def spy(df, name):
+        written[name] = df.rdd.getNumPartitions() if name == "catalog" else None
+        return real(df, name)
+
+    monkeypatch.setattr(plan, "write_table", spy)
+    monkeypatch.setattr(models, "ITEM_PIECE", 50)
+    models.release_fits()
+    try:
+        out = models.recommend_personas_q(spark, sf001)
+        assert written["catalog"] == 4 and {"patterns", "items"} <= set(written)
+        assert "piece#" in _plan(out)
+        flags = out.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_rated_item") & ~F.col("is_favourite")
+                        & F.col("order_ok") & F.col("beats_rest")).alias("ok")).first()
+        assert flags["n"] == flags["ok"] > 0
+    finally:
+        models.release_fits()
