@@ -49,3 +49,15 @@ def test_personas_names_and_items_in_pieces(spark, sf001, monkeypatch):
         assert flags["n"] == flags["ok"] > 0
     finally:
         models.release_fits()
+
+
+def test_grid_fits_two_cells_at_a_time(spark, sf001, monkeypatch):
+    asked, real = {}, models.als_grid_search
+
+    def spy(*args, **kwargs):
+        asked.update(kwargs)
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(models, "als_grid_search", spy)
+    assert models.als_grid(spark, sf001).where("best_ok AND rmse_ok").count() == 4
+    assert asked["parallelism"] == 2
