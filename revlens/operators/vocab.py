@@ -50,10 +50,12 @@ def term_frequency(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
             .groupBy(doc_col, TERM).agg(F.count(F.lit(1)).alias("tf")))
 
 
-def term_table(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
+def term_table(docs: DataFrame, doc_col: str, terms_col: str, written: bool = True) -> DataFrame:
     """:func:`term_frequency`, written once: statistics, weights and vectors
-    read it, and the text is scanned and tokenised in this one pass."""
-    return write_table(term_frequency(docs, doc_col, terms_col), "terms")
+    read it, and the text is scanned and tokenised in this one pass. Not
+    ``written``: for one reader, that makes what is kept from it."""
+    counted = term_frequency(docs, doc_col, terms_col)
+    return write_table(counted, "terms") if written else counted
 
 
 def table_stats(table: DataFrame) -> DataFrame:
@@ -66,14 +68,15 @@ def term_stats(docs: DataFrame, doc_col: str, terms_col: str) -> DataFrame:
     return table_stats(term_frequency(docs, doc_col, terms_col))
 
 
-def vocabulary(stats: DataFrame, cap: int | None = None, min_df: int = 1) -> DataFrame:
+def vocabulary(stats: DataFrame, cap: int | None = None, min_df: int = 1, compact: bool = False) -> DataFrame:
     """(term, term_index, tf, df) of all terms, or of the ``cap`` most frequent.
 
     Order: tf descending, term ascending; one distributed sort with positions,
     whatever the size. There is no cap unless the caller asks for one.
+    ``compact``: see :func:`row_index`.
     """
     kept = stats.where(F.col("df") >= F.lit(min_df))
-    indexed = row_index(kept, [F.col("tf").desc(), F.col(TERM).asc()], TERM_INDEX)
+    indexed = row_index(kept, [F.col("tf").desc(), F.col(TERM).asc()], TERM_INDEX, compact=compact)
     if cap is not None:
         indexed = indexed.where(F.col(TERM_INDEX) < F.lit(cap))
     return indexed.select(TERM, TERM_INDEX, "tf", "df")

@@ -1,6 +1,6 @@
 """Key n-grams: the n-grams a linear SVM weighs most, glued into one token.
 
-tokens -> n-grams -> vocabulary (train docs) -> tf-idf -> LinearSVC on the
+tokens -> n-grams -> vocabulary (train docs) -> tf-idf -> linear SVM on the
 training side of a hash split -> the ``per_side`` lowest and highest
 weighted n-grams -> every document's text with those n-grams glued
 (``"not good"`` -> ``"not_good"``), in key-list order.
@@ -11,16 +11,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N, SPLIT_SEED,
                                      TOKEN_PATTERN)
 from revlens.functions.text import glue_list, join_words, ngrams, tokenize
 from revlens.operators.extremes import key_extremes, key_list
-from revlens.operators.features import coefficient_rows, in_few_parts, sparse_features
-from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import TERM, TERM_INDEX, by_document, table_stats, term_table, vocabulary
+from revlens.operators.features import (POSITION, in_few_parts, in_first_part, number_documents, samples,
+                                        term_columns)
+from revlens.operators.svm import WEIGHT, LinearSVC, LinearSVCModel
+from revlens.operators.vocab import TERM, TERM_INDEX, by_document, term_table, vocabulary
+from revlens.session import write_table
+
+
+SIDES = [0.8, 0.2]   # training, test
 
 
 @dataclass
@@ -34,14 +39,28 @@ class KeyNgrams:
     held: tuple[DataFrame, ...] = ()
 
     def release(self) -> None:
-        """Unpersist the token arrays and the vocabulary."""
+        """Unpersist the text."""
         for df in self.held:
             df.unpersist()
 
 
-def coefficient_frame(spark, model: LinearSVCModel, vocab: DataFrame) -> DataFrame:
+def coefficient_frame(weights: DataFrame, vocab: DataFrame) -> DataFrame:
     """(term, term_index, weight): the SVM weight of every vocabulary term."""
-    return vocab.select(TERM, TERM_INDEX).join(coefficient_rows(spark, model.coefficients), TERM_INDEX)
+    return vocab.select(TERM, TERM_INDEX).join(weights, TERM)
+
+
+def fit_columns(table: DataFrame, numbers: DataFrame, n_numbers: int, n_train: int, doc_col: str, seed: int,
+                vocab_cap: int | None, min_df: int, fit_on_all: bool, train_only: bool) -> tuple[DataFrame, DataFrame]:
+    """(columns, vocabulary) of a (doc, term, tf) table: statistics and weights from
+    one shuffle by term. Documents below position ``n_train`` are the training side."""
+    # a null id has no position
+    train = F.when(F.col(POSITION).isNull(), in_first_part(doc_col, SIDES, seed)).otherwise(F.col(POSITION) < n_train)
+    columns = term_columns(table, numbers, n_numbers, doc_col, F.lit(True) if fit_on_all else train,
+                           F.col(POSITION) < n_train if train_only else None)
+    vocab = vocabulary(columns.select(TERM, "tf", "df"), vocab_cap, min_df, compact=True)
+    if vocab_cap is not None or min_df > 1:
+        columns = write_table(columns.join(vocab.select(TERM), TERM, "left_semi"), "columns")
+    return columns, vocab
 
 
 def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
@@ -56,22 +75,23 @@ def key_ngrams(docs: DataFrame, n: int = KEY_NGRAM_N, seed: int = SPLIT_SEED,
     job did); by default only the training side is used.
     """
     spark = docs.sparkSession
-    # Tokenise once: the term table and gluing reuse the token arrays.
-    # Persisted, not written: the lineage (scan -> regex) is deterministic, so
-    # a lost executor simply recomputes its part.
-    words = (by_document(docs, doc_col, text_col).withColumn("words", tokenize(text_col, pattern))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    # The text, dealt by document, is kept and tokenised for the term table and
+    # for gluing: token arrays take several times its memory. Persisted, not
+    # written: the lineage is deterministic, so a lost executor recomputes its part.
+    dealt = by_document(docs, doc_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
+    words = dealt.withColumn("words", tokenize(text_col, pattern))
     grams = words.select(doc_col, ngrams("words", n).alias("ngrams"))
-    table = term_table(grams, doc_col, "ngrams")
-    train, fit_table = (hash_split(df, [0.8, 0.2], seed, [doc_col])[0] for df in (words, table))
-    # kept, as the vectors and the coefficients are joined to it
-    vocab = vocabulary(table_stats(table if fit_on_all else fit_table), vocab_cap, min_df).persist()
-    n_fit = (words if fit_on_all else train).count()
-    feats = sparse_features(train.select(doc_col, label_col), fit_table, vocab, n_fit, doc_col, "tf_idf")
-    svc = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol="tf_idf",
-                    labelCol=label_col).fit(in_few_parts(feats))
-    weights = coefficient_frame(spark, svc, vocab)
-    extremes = key_extremes(weights, per_side)
+    table = term_table(grams, doc_col, "ngrams", False)
+    first = in_first_part(doc_col, SIDES, seed)
+    numbers, n_numbers, n_train = number_documents(dealt, doc_col, first)
+    columns, vocab = fit_columns(table, numbers, n_numbers, n_train, doc_col, seed, vocab_cap, min_df, fit_on_all, True)
+    train = dealt.where(first)
+    n_fit = (dealt if fit_on_all else train).count()
+    fitted = samples(train, numbers, n_numbers, doc_col, label_col)
+    svc = LinearSVC(fitted, n_fit, regParam=reg_param, maxIter=max_iter).fit(in_few_parts(columns))
+    found = write_table(svc.weights(columns), "weights", "zstd")
+    extremes = key_extremes(found.select(TERM, WEIGHT), per_side)
     keys = key_list(extremes)
+    weights = coefficient_frame(found, vocab)
     glued = words.withColumn(output_col, glue_list(join_words("words"), keys))
-    return KeyNgrams(glued, extremes, keys, vocab, weights, svc, (words, vocab))
+    return KeyNgrams(glued, extremes, keys, vocab, weights, svc, (dealt,))

@@ -9,14 +9,11 @@ document id, used by both stages.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +21,13 @@ from revlens.functions.fixed import (KEY_EXTREMES_PER_SIDE, KEY_NGRAM_N,
                                      POSITIVE_MIN_STARS, SPLIT_SEED, SVM_REG_GRID,
                                      TOKEN_PATTERN)
 from revlens.functions.text import remove_stopwords, tokenize
-from revlens.operators.features import in_few_parts, sparse_features
+from revlens.operators.features import (POSITION, in_few_parts, in_first_part, number_documents,
+                                        position_values, samples, sparse_features)
 from revlens.operators.sampling import hash_split
-from revlens.operators.vocab import table_stats, term_table, vocabulary
-from revlens.plans.keyphrase import KeyNgrams, key_ngrams
+from revlens.operators.svm import LinearSVC, LinearSVCModel, margins
+from revlens.operators.vocab import term_table
+from revlens.plans.keyphrase import SIDES, KeyNgrams, fit_columns, key_ngrams
+from revlens.session import write_table
 
 DROPPED = ("cool", "funny", "useful", "date", "stars")
 
@@ -49,9 +49,14 @@ class SentimentResult:
     n_validation: int            # documents held back to choose regParam
     keys: KeyNgrams
     model: LinearSVCModel        # the best regParam, fitted on the whole training side
-    features: DataFrame          # doc_id, label, features of all docs
+    vectors: Callable[[], DataFrame]
     held: tuple[DataFrame, ...] = ()
 
+    @property
+    def features(self) -> DataFrame:
+        """doc_id, label, features of all docs; made when asked for, as the fits read columns."""
+        return self.vectors()
+
     def release(self) -> None:
         """Unpersist everything the job has cached."""
         self.keys.release()
@@ -71,7 +76,7 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
     regParam is chosen on a part of the training side that a hash of the
     document id holds back, then fitted on the whole training side.
     ``parallelism``: grid cells fitted concurrently (default: the grid size,
-    at most 4); they share the cached training features.
+    at most 4); they share the rounds' passes over the training columns.
     """
     if parallelism is None:
         parallelism = max(1, min(len(reg_grid), 4))
@@ -80,35 +85,41 @@ def sentiment(reviews: DataFrame, seed: int = SPLIT_SEED, n: int = KEY_NGRAM_N,
                     reg_param=key_reg, doc_col=doc_col, output_col="ngram_text",
                     pattern=pattern, vocab_cap=vocab_cap, min_df=min_df, fit_on_all=fit_on_all)
     kept = kn.docs.select(doc_col, remove_stopwords(tokenize("ngram_text", pattern)).alias("kept"))
-    table = term_table(kept, doc_col, "kept")   # the one pass over the glued text
-    docs = kn.docs.select(doc_col, "label")
-    train, fit_table = (hash_split(df, [0.8, 0.2], seed, [doc_col])[0] for df in (docs, table))
-    vocab = vocabulary(table_stats(table if fit_on_all else fit_table), vocab_cap, min_df).persist()
+    table = term_table(kept, doc_col, "kept", False)   # the one pass over the glued text
+    docs = write_table(kn.docs.select(doc_col, "label"), "labels")
+    train, test = hash_split(docs, SIDES, seed, [doc_col])
+    numbers, n_numbers, n_train = number_documents(docs, doc_col, in_first_part(doc_col, SIDES, seed))
+    columns, vocab = fit_columns(table, numbers, n_numbers, n_train, doc_col, seed, vocab_cap, min_df, fit_on_all, False)
     n_fit = (docs if fit_on_all else train).count()
-    features = sparse_features(docs, table, vocab, n_fit, doc_col)
-    train_f, test_f = hash_split(features, [0.8, 0.2], seed, [doc_col])
-    train_f = in_few_parts(train_f).persist(StorageLevel.MEMORY_AND_DISK)
-    svc = LinearSVC(maxIter=max_iter, labelCol="label")
+    few = in_few_parts(columns)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
                                               labelCol="label", numBins=num_bins)
     # another seed than the outer split's, whose buckets end at the training side
-    inner, held_back = hash_split(train_f, [train_ratio, 1 - train_ratio], seed + 1, [doc_col])
+    inner, held_back = hash_split(train, [train_ratio, 1 - train_ratio], seed + 1, [doc_col])
     n_validation = held_back.count()
     if not n_validation:
         raise ValueError("no document falls on the validation side")
 
-    def run(reg: float) -> float:
-        return evaluator.evaluate(svc.fit(inner, {svc.regParam: reg}).transform(held_back))
+    def svc(rows: DataFrame, reg: float) -> LinearSVC:
+        return LinearSVC(samples(rows, numbers, n_numbers, doc_col, "label"), n_fit, regParam=reg, maxIter=max_iter)
+
+    def score(rows: DataFrame, by_position, intercept: float) -> DataFrame:
+        """Rows with the margins of their document; an empty one has the intercept."""
+        found = numbers.join(position_values(rows.sparkSession, by_position, "margin"), POSITION).select(doc_col, "margin")
+        margin = F.coalesce("margin", F.lit(intercept))
+        return (rows.join(found, doc_col, "left")
+                .select(doc_col, "label", F.when(margin > 0, 1.0).otherwise(0.0).alias("prediction"),
+                        array_to_vector(F.array(-margin, margin)).alias("rawPrediction"), margin.alias("margin")))
 
     regs = [float(r) for r in reg_grid]
-    with ThreadPool(max(1, parallelism)) as pool:
-        metrics = pool.map(inheritable_thread_target(reviews.sparkSession)(run), regs, 1)
+    grid, models = svc(inner, regs[0]), []
+    for k in range(0, len(regs), max(1, parallelism)):
+        models += grid.fit_many(few, regs[k:k + max(1, parallelism)])
+    metrics = [evaluator.evaluate(score(held_back, m, model.intercept))
+               for m, model in zip(margins(few, models), models)]
     best_reg = regs[max(range(len(regs)), key=lambda i: metrics[i])]  # ties: the earlier one
-    model = svc.fit(train_f, {svc.regParam: best_reg})
-    train_f.unpersist()
-    scored = (model.transform(test_f)
-              .select(doc_col, "label", "prediction", "rawPrediction",
-                      vector_to_array("rawPrediction")[1].alias("margin")))
+    model = svc(train, best_reg).fit(few)
+    scored = write_table(score(test, margins(few, [model])[0], model.intercept), "scored")
     auroc = evaluator.evaluate(scored)
-    return SentimentResult(scored, auroc, best_reg, list(zip(regs, metrics)), n_validation, kn,
-                           model, features, (vocab,))
+    return SentimentResult(scored, auroc, best_reg, list(zip(regs, metrics)), n_validation, kn, model,
+                           lambda: sparse_features(docs, table, vocab, n_fit, doc_col))
