@@ -13,7 +13,7 @@ from revlens.functions.text import tokenize
 from revlens.operators import features, svm
 from revlens.operators.svm import LinearSVC, margins
 from revlens.operators.vocab import table_stats, term_table, vocabulary
-from revlens.plans import keyphrase
+from revlens.plans import keyphrase, tune
 from revlens.plans import sentiment as plan
 from revlens.queries import models
 
@@ -143,3 +143,35 @@ def test_grid_cells_share_the_rounds(spark, monkeypatch):
     assert rounds[0] == 3 and len(rounds) == max(m.iterations for m in together)
     alone = svc.fit(cols)
     assert together[1].objective == pytest.approx(alone.objective, rel=1e-12)
+
+
+def test_a_large_grid_keeps_its_fits_out_of_memory(spark, monkeypatch):
+    ratings = spark.range(600).select(
+        (F.col("id") % 20).cast("int").alias("user_id_numeric"), (F.col("id") * 7 % 30).cast("int").alias("business_id_numeric"),
+        (F.col("id") % 5 + 1).cast("double").alias("rating"))
+    seen, at_once, most, fit = [], [], [], tune.fit
+
+    def spy(als, train):
+        at_once.append(als)
+        most.append(len(at_once))
+        seen.append((als.getIntermediateStorageLevel(), als.getFinalStorageLevel(), als.getNumUserBlocks()))
+        try:
+            return fit(als, train)
+        finally:
+            at_once.pop()
+
+    monkeypatch.setattr(tune, "fit", spy)
+    small = tune.als_grid_search(ratings, [2], [0.1, 1.0], 2, parallelism=2).results.collect()
+    assert seen == [("MEMORY_AND_DISK", "MEMORY_AND_DISK", 10)] * 2
+    seen.clear()
+    most.clear()
+    monkeypatch.setattr(tune, "GRID_MEMORY_RATINGS", 100)
+    large = tune.als_grid_search(ratings, [2], [0.1, 1.0], 2, parallelism=2).results.collect()
+    assert seen == [("DISK_ONLY", "DISK_ONLY", 10)] * 2 and most == [1, 1]
+    # the same models, up to the order of sums
+    assert [r["rmse"] for r in large] == pytest.approx([r["rmse"] for r in small], rel=1e-6)
+    assert [tuple(r)[:3] + tuple(r)[4:] for r in large] == [tuple(r)[:3] + tuple(r)[4:] for r in small]
+    monkeypatch.setattr(tune, "GRID_BLOCK_RATINGS", 20)
+    seen.clear()
+    tune.als_grid_search(ratings, [2], [0.1], 1)
+    assert seen[0][2] > 10
